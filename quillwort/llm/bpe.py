@@ -24,7 +24,7 @@ from . import common
 CHUNK = 32_768
 OVERLAP = 256
 #: Pieces whose ids a worker remembers before it starts over.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 @lru_cache(4)

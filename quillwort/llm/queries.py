@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, langid
+from . import bpe, common, htmltext, langid, neardup, ngramlm, tiling, warc
 
 #: Folder-independent name of the rank file, and where the tokenizers' package keeps it.
 RANKS = "byte_bpe_50k.tiktoken"
@@ -43,5 +43,37 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op4_byte_bpe": op4_byte_bpe, "op8_language_id": op8_language_id}
+def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share 85 hundredths of their five-word shingles."""
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return htmltext.extract(pages).drop("html").withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every text under a model of six sevenths of them."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = common.held_out(F.col("doc_id"), 7, 2)
+    model, counts = ngramlm.train(docs.filter(~out).select("text"))
+    got = ngramlm.score(docs, model, counts, flag=out).withColumnRenamed("flag", "held_out")
+    return got.withColumn("train_tokens", F.lit(model.total).cast("long"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive every page, read the archives back and merge their captures in order."""
+    path = common.new_path(spark, "warc")
+    warc.write(_table(spark, sf_dir, "pages"), path)
+    return warc.merge(warc.read(spark, path))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the share of it that they hold."""
+    return tiling.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op3_minhash_neardup, op4_byte_bpe, op5_html_text, op6_lm_score, op7_warc, op8_language_id, op9_decontamination)}
 ORACLES: dict[str, str] = {}
