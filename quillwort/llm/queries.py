@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, htmltext, langid, neardup, ngramlm, tiling, warc
+from . import bpe, common, fingerprint, htmltext, langid, neardup, ngramlm, surrogates, tiling, warc
 
 #: Folder-independent name of the rank file, and where the tokenizers' package keeps it.
 RANKS = "byte_bpe_50k.tiktoken"
@@ -43,6 +43,24 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of every text and of its edited text, and how alike they are to each other and to the next one."""
+    got = fingerprint.edited_and_next(_table(spark, sf_dir, "documents"))
+    sketch, edited, following = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    return got.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprint.digest(sketch).alias("fingerprint"), fingerprint.digest(edited).alias("edited_fingerprint"),
+        fingerprint.resemblance(sketch, edited).alias("near_edited"), fingerprint.resemblance(sketch, following).alias("near_next"),
+        fingerprint.distinct_count(sketch).alias("distinct_shingles"), fingerprint.containment(sketch, edited).alias("contained_edited"),
+    )
+
+
+def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with its personal data and secrets replaced."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace_entities(docs, secret="production surrogate key")
+
+
 def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share 85 hundredths of their five-word shingles."""
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
@@ -75,5 +93,5 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op3_minhash_neardup, op4_byte_bpe, op5_html_text, op6_lm_score, op7_warc, op8_language_id, op9_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_fingerprint, op3_minhash_neardup, op4_byte_bpe, op5_html_text, op6_lm_score, op7_warc, op8_language_id, op9_decontamination, op10_pii_surrogates)}
 ORACLES: dict[str, str] = {}
