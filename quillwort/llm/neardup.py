@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .components import components
+from .components import components, resolve
 
 #: Bits kept of each minhash value, values of a chunk, and values of a chunk that may differ.
 BITS, WIDTH, ERRORS = 16, 7, 1
@@ -166,39 +166,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     classes = signed.filter("id is not null and cls is not null").groupBy("cls").agg(F.min("id").alias("rep"), F.first("n").alias("n"))
     classes = common.store(classes, "near-classes")
     reps = signed.join(classes.select("cls", "rep"), (signed["cls"] == classes["cls"]) & (signed["id"] == classes["rep"]), "left_semi").dropDuplicates(["id", "cls"])
-    entries = reps.select("id", "n", F.explode("keys").alias("key"))
-    shared = entries.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).filter("pivot <> last").drop("last")
-    members = common.store(entries.join(shared, "key"), "near-members")
     texts = rows.filter("id is not null")
-
-    fits = lambda a, b: (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
-    # Sets of sizes further apart than the threshold cannot be linked. Sizes are looked up with the ids.
-    sizes = reps.select("id", "n").groupBy("id").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"))
+    # Sets of sizes further apart than the threshold cannot be linked.
+    fits = lambda x, y: (x * 100 >= y * percent) & (y * 100 >= x * percent)
 
     def check(pairs: DataFrame, name: str) -> DataFrame:
-        wanted = common.store(pairs.distinct(), f"{name}-pairs")
+        wanted = common.store(pairs, f"{name}-pairs")
         ids = wanted.select(F.col("a").alias("id")).union(wanted.select("b")).distinct()
         return common.store(_confirmed(wanted, texts.join(ids, "id", "left_semi"), percent, words), name)
 
-    star = members.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b"), F.col("n").alias("nb"))
-    star = star.distinct().join(sizes.withColumnRenamed("id", "a"), "a")
-    star = star.filter((F.col("nb") * 100 >= F.col("n_min") * percent) & (F.col("n_max") * 100 >= F.col("nb") * percent)).select("a", "b")
-    links = check(star, "near-star")
+    links = resolve(reps.select("id", F.col("n").alias("load"), F.explode("keys").alias("key")), fits, check, "near")
     same = classes.join(signed.filter("id is not null").select("id", "cls"), "cls").filter("id <> rep").select(F.col("id").alias("u"), F.col("rep").alias("v"))
-    found = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    found = common.store(found, "near-first")
-
-    # The rest: in keys with several components, whatever is not in the pivot's component meets all others.
-    placed = members.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min_by("component", "id").alias("main")).filter("low <> high").drop("low", "high")
-    placed = common.store(placed.join(mixed, "key"), "near-placed")
-    apart = placed.filter("component <> main").select("key", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
-    others = placed.select("key", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), (F.col("component") == F.col("main")).alias("in_main"))
-    rest = apart.join(others, "key").filter((F.col("ca") != F.col("cb")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & fits("na", "nb"))
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(links, ["a", "b"], "left_anti")
-    more = check(rest, "near-rest")
-
-    edges = links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(same)
+    edges = links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(same)
     final = common.store(components(edges), "near-components")
     out = signed.select(F.col("id").alias("_id"), F.col("n").alias("n_shingles")).join(final.withColumnRenamed("node", "_id"), "_id", "left")
     component = F.coalesce("component", "_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, fingerprint, htmltext, langid, neardup, ngramlm, surrogates, tiling, warc
+from . import bpe, common, fingerprint, htmltext, langid, linededup, neardup, ngramlm, surrogates, tiling, warc
 
 #: Folder-independent name of the rank file, and where the tokenizers' package keeps it.
 RANKS = "byte_bpe_50k.tiktoken"
@@ -61,6 +61,11 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replace_entities(docs, secret="production surrogate key")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without lines that occur before, exactly or nearly."""
+    return linededup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share 85 hundredths of their five-word shingles."""
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
@@ -93,5 +98,5 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprint, op3_minhash_neardup, op4_byte_bpe, op5_html_text, op6_lm_score, op7_warc, op8_language_id, op9_decontamination, op10_pii_surrogates)}
+QUERIES = {f.__name__: f for f in (op1_fingerprint, op2_line_dedup, op3_minhash_neardup, op4_byte_bpe, op5_html_text, op6_lm_score, op7_warc, op8_language_id, op9_decontamination, op10_pii_surrogates)}
 ORACLES: dict[str, str] = {}
