@@ -11,7 +11,8 @@ from . import bpe, common, fingerprint, htmltext, langid, linededup, neardup, ng
 RANKS = "byte_bpe_50k.tiktoken"
 
 
-def _ranks() -> tuple[str, str]:
+def tokenizer() -> tuple[str, str]:
+    """Path of the rank file and the split pattern that goes with it."""
     import public_tokenizers
 
     return public_tokenizers.path(RANKS), public_tokenizers.PATTERN
@@ -23,7 +24,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every text; digests of the ids and of the decoded bytes."""
-    path, pattern = _ranks()
+    path, pattern = tokenizer()
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     got = bpe.decode(bpe.encode(docs, path, pattern).drop("text"), path, pattern)
     return got.select(
