@@ -1,4 +1,6 @@
 """All queries of the engine's own operators, and the SQL that checks them."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import reports
+
+QUERIES: dict = {**reports.QUERIES}
+ORACLES: dict = {**reports.ORACLES}
