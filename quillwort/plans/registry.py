@@ -1,6 +1,6 @@
 """All queries of the engine's own operators, and the SQL that checks them."""
 
-from . import reports
+from . import postings, reports
 
-QUERIES: dict = {**reports.QUERIES}
-ORACLES: dict = {**reports.ORACLES}
+QUERIES: dict = {**reports.QUERIES, **postings.QUERIES}
+ORACLES: dict = {**reports.ORACLES, **postings.ORACLES}
