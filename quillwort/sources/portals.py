@@ -69,8 +69,9 @@ def gupy(spark: SparkSession, path: str) -> DataFrame:
 def cards(spark: SparkSession, path: str, tag: str, marker: str) -> DataFrame:
     """(term, card): the HTML cards of landed pages {term, html}, cut where the opening tag of each card stands."""
     pages = spark.read.schema("term string, html string").json(path)
-    pieces = F.split("html", rf"(?=<{tag}\b[^>]*{marker})")
-    return pages.select("term", F.explode(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))).alias("card"))
+    opening = rf"<{tag}\b[^>]*{marker}"
+    pieces = F.filter(F.split("html", f"(?={opening})"), lambda x: x.rlike(f"^{opening}"))
+    return pages.select("term", F.explode(pieces).alias("card"))
 
 
 def within(card: Column, css_class: str) -> Column:
