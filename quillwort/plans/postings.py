@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import dates, links, numbers, places, text
+from ..functions import dates, declared, links, numbers, places, text
 from ..operators import classify as K
 from ..operators import merge as M
 from ..operators import phrases, quality, resolve, skills
@@ -132,6 +132,18 @@ def workplace_infer(spark, d):
     return _cases(table(spark, d, "customer"), "c_custkey", list(_TEXTS)).select("c_custkey", got.alias("workplace"))
 
 
+_DECLARED = {
+    "Work model: Hybrid": "Híbrido", "Plataforma de nuvem híbrida": "Não informado", "Equipe híbrida e unida, ótimo clima": "Híbrido", "Modalidade: presencial": "Presencial", "Fully remote": "Remoto",
+    "Kit home office": "Não informado", "Vai atuar presencialmente 3x": "Não informado", "Vai atuar presencialmente sempre": "Presencial", "A vaga é presencial": "Presencial", "3 dias presenciais e 2 dias home office": "Híbrido",
+}
+
+
+@query(_expected("c_custkey", "customer", "workplace", list(_DECLARED.values())))
+def workplace_declared_source(spark, d):
+    got = declared.infer_declared(F.lit(""), F.lit(False), F.lit("Recife, PE"), F.lit("Analista"), F.col("raw"))
+    return _cases(table(spark, d, "customer"), "c_custkey", list(_DECLARED)).select("c_custkey", got.alias("workplace"))
+
+
 _DATES = {
     "2026-06-26T10:00:00Z": "2026-06-26", "09/07/2026": "2026-07-09", "Ontem": "2026-07-14", "anteontem": "2026-07-13", "Hoje": "2026-07-15", "Há 3 dias": "2026-07-12",
     "Publicada há mais de 2 meses": "2026-05-16", "há 20 horas": "2026-07-15", "31/02/2026": None, "2026-13-01": None, "sem data": None,
