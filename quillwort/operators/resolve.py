@@ -86,15 +86,16 @@ def resolve(jobs: DataFrame, ordinal: str = "ord") -> DataFrame:
         "_title": normalize(F.col("title")), "_company": company_identity(F.col("company")), "_city": place["city"], "_state": place["state"],
         "_day": loose_date(F.col("published_date")), "_len": F.length(F.coalesce("description", F.lit(""))),
     })
-    several = rows.groupBy("_title").agg(F.min("source").alias("a"), F.max("source").alias("b")).filter("a <> b").select("_title")
-    alone, groups = rows.join(several, "_title", "left_anti"), rows.join(several, "_title", "left_semi")
+    # One shuffle by title serves the window, the rows that pass by and the groups.
+    title = Window.partitionBy("_title")
+    rows = rows.withColumns({"_several": F.min("source").over(title) != F.max("source").over(title), "_place": F.row_number().over(title.orderBy("_ord"))}).drop("_ord")
+    alone, groups = rows.filter(~F.col("_several")), rows.filter("_several").drop("_several")
 
     def survivors(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("_place", kind="stable").reset_index(drop=True)
         return group.iloc[_greedy(group)].drop(columns=["_place"])
 
-    placed = groups.withColumn("_place", F.row_number().over(Window.partitionBy("_title").orderBy("_ord"))).drop("_ord")
-    kept = placed.groupBy("_title").applyInPandas(survivors, placed.drop("_place").schema)
+    kept = groups.groupBy("_title").applyInPandas(survivors, groups.drop("_place").schema)
     return alone.select(*jobs.columns).unionByName(kept.select(*jobs.columns))
 
 
