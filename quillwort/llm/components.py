@@ -47,7 +47,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def resolve(
-    entries: DataFrame, fits: Callable[[Column, Column], Column], check: Callable[[DataFrame, str], DataFrame], name: str
+    entries: DataFrame, fits: Callable[[Column, Column], Column], check: Callable[[DataFrame, str], DataFrame], name: str,
+    tighten: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Links (a, b) that connect whatever is linked among the candidates, without pairing all of a key's entries.
 
@@ -55,7 +56,8 @@ def resolve(
     keeps the linked ones of candidate pairs (a, b). First every entry is compared with the first of its key. When
     the links found are joined to components, what lies outside the component of a key's first entry is compared
     with the entries of all other components there. Pairs within a component are never needed, so the links left
-    out are those between documents that are connected already.
+    out are those between documents that are connected already. Before that, ``tighten`` may change the loads of
+    these entries (key, id, load, ...), so that ``fits`` rules out more of the pairs that cannot be linked.
     """
     whole = Window.partitionBy("key").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     members = entries.select("key", "id", "load", F.first("id").over(whole).alias("pivot"), F.first("load").over(whole).alias("pivot_load"), F.last("id").over(whole).alias("last"))
@@ -70,6 +72,8 @@ def resolve(
     placed = placed.select("key", "id", "load", "component", main.alias("main"), F.min("component").over(whole).alias("low"), F.max("component").over(whole).alias("high"))
     placed = common.store(placed.filter("low <> high").drop("low", "high"), f"{name}-placed")
     common.discard(members)
+    if tighten is not None:
+        placed = common.store(tighten(placed), f"{name}-tight")
     apart = placed.filter("component <> main").select("key", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("load").alias("lb"))
     others = placed.select("key", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("load").alias("la"), (F.col("component") == F.col("main")).alias("in_main"))
     rest = apart.join(others, (apart["key"] == others["key"]) & (F.col("ca") != F.col("cb")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & fits(F.col("la"), F.col("lb")))

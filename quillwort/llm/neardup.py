@@ -19,7 +19,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -29,6 +29,8 @@ from .components import components, resolve
 BITS, WIDTH, ERRORS = 16, 7, 1
 #: The chance that a pair right at the threshold shares no key decides the number of chunks.
 MISS = 5e-6
+#: Documents of a key from which on their lone shingles are counted.
+CROWDED = 8
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 _REMEMBERED = 500_000
 
@@ -151,6 +153,34 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int, words: int) ->
     return both.mapInArrow(check, "a long, b long")
 
 
+def _lone(placed: DataFrame, texts: DataFrame, once: DataFrame, words: int) -> DataFrame:
+    """``placed`` with the number of lone shingles in the loads of crowded keys.
+
+    Documents of a crowded key are often copies of one text, each edited for itself. A shingle that only one of all
+    documents in crowded keys has is shared with none of them, which bounds what two of them can share. Outside
+    crowded keys, and for ids that stand for several texts, the number stays 0, which bounds nothing.
+    """
+    crowded = placed.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= CROWDED).select("key", F.lit(True).alias("crowd"))
+    placed = common.store(placed.join(crowded, "key", "left"), "near-crowded")
+    ids = placed.filter("crowd").select("id").distinct()
+
+    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(words)
+        for b in batches:
+            sets = [shingler.shingles(t).view(np.int64) for t in b.column("text").to_pylist()]
+            owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            if len(owner):
+                yield pa.RecordBatch.from_arrays([b.column("id").take(pa.array(owner)), pa.array(np.concatenate(sets))], names=["id", "h"])
+
+    held = texts.join(ids, "id", "left_semi").select("id", "text").mapInArrow(shingle, "id long, h long")
+    # Two texts of one id may hold one shingle twice; min and max tell whether two ids do.
+    alone = held.groupBy("h").agg(F.min("id").alias("id"), F.max("id").alias("other")).filter("id = other")
+    lone = alone.groupBy("id").agg(F.count(F.lit(1)).alias("lone")).join(once, "id", "left_semi")
+    got = placed.join(lone, "id", "left")
+    n = F.when(F.col("crowd"), F.coalesce("lone", F.lit(0))).otherwise(0).cast("long")
+    return got.select("key", "id", F.struct(F.col("load.n").alias("n"), n.alias("lone")).alias("load"), "component", "main")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, words: int = 5) -> DataFrame:
     """(key, n_shingles, component_id, kept) for every row of ``docs``, over whole texts.
 
@@ -167,15 +197,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     classes = common.store(classes, "near-classes")
     reps = signed.join(classes.select("cls", "rep"), (signed["cls"] == classes["cls"]) & (signed["id"] == classes["rep"]), "left_semi").dropDuplicates(["id", "cls"])
     texts = rows.filter("id is not null")
-    # Sets of sizes further apart than the threshold cannot be linked.
-    fits = lambda x, y: (x * 100 >= y * percent) & (y * 100 >= x * percent)
+
+    def fits(x: Column, y: Column) -> Column:
+        """Whether sets of these sizes, with so many shingles that none of the others has, can be linked at all."""
+        shared = F.least(x["n"] - x["lone"], y["n"] - y["lone"])
+        return shared * 100 >= (x["n"] + y["n"] - shared) * percent
 
     def check(pairs: DataFrame, name: str) -> DataFrame:
         wanted = common.store(pairs, f"{name}-pairs")
         ids = wanted.select(F.col("a").alias("id")).union(wanted.select("b")).distinct()
         return common.store(_confirmed(wanted, texts.join(ids, "id", "left_semi"), percent, words), name)
 
-    links = resolve(reps.select("id", F.col("n").alias("load"), F.explode("keys").alias("key")), fits, check, "near")
+    load = F.struct("n", F.lit(0).cast("long").alias("lone")).alias("load")
+    once = reps.groupBy("id").agg(F.count(F.lit(1)).alias("c")).filter("c = 1").select("id")
+
+    def tighten(placed: DataFrame) -> DataFrame:
+        return _lone(placed, texts, once, words)
+
+    links = resolve(reps.select("id", load, F.explode("keys").alias("key")), fits, check, "near", tighten)
     same = classes.join(signed.filter("id is not null").select("id", "cls"), "cls").filter("id <> rep").select(F.col("id").alias("u"), F.col("rep").alias("v"))
     edges = links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(same)
     final = common.store(components(edges), "near-components")
