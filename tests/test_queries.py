@@ -1,6 +1,7 @@
 """Every registered query of the engine's own operators against its SQL, on the smallest tables."""
 
 import datetime
+import decimal
 import math
 from pathlib import Path
 
@@ -24,6 +25,8 @@ def duck():
 def _cell(x):
     if isinstance(x, datetime.date | datetime.datetime):
         return str(x)
+    if isinstance(x, decimal.Decimal):
+        x = float(x)
     if isinstance(x, float):
         return "nan" if math.isnan(x) else round(x, 6)
     return float(x) if isinstance(x, int) and not isinstance(x, bool) else x
