@@ -50,14 +50,15 @@ def resolve(
     entries: DataFrame, fits: Callable[[Column, Column], Column], check: Callable[[DataFrame, str], DataFrame], name: str,
     tighten: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Links (a, b) that connect whatever is linked among the candidates, without pairing all of a key's entries.
+    """Pairs (a, b) that connect whatever is linked among the candidates, without pairing all of a key's entries.
 
     ``entries`` are rows (key, id, load); those with one key are candidates if ``fits`` their loads, and ``check``
     keeps the linked ones of candidate pairs (a, b). First every entry is compared with the first of its key. When
     the links found are joined to components, what lies outside the component of a key's first entry is compared
     with the entries of all other components there. Pairs within a component are never needed, so the links left
-    out are those between documents that are connected already. Before that, ``tighten`` may change the loads of
-    these entries (key, id, load, ...), so that ``fits`` rules out more of the pairs that cannot be linked.
+    out are those between documents that are connected already; the first links are given as the stars they form.
+    Before that, ``tighten`` may change the loads of these entries (key, id, load, ...), so that ``fits`` rules out
+    more of the pairs that cannot be linked.
     """
     whole = Window.partitionBy("key").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     members = entries.select("key", "id", "load", F.first("id").over(whole).alias("pivot"), F.first("load").over(whole).alias("pivot_load"), F.last("id").over(whole).alias("last"))
@@ -65,8 +66,9 @@ def resolve(
     star = members.filter((F.col("id") != F.col("pivot")) & fits(F.col("pivot_load"), F.col("load")))
     links = check(star.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), f"{name}-star")
     found = components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("node", "id")
+    found = common.store(found, f"{name}-first")
 
-    placed = members.select("key", "id", "load", "pivot").join(common.store(found, f"{name}-first"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    placed = members.select("key", "id", "load", "pivot").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     whole = Window.partitionBy("key")
     main = F.min(F.when(F.col("id") == F.col("pivot"), F.col("component"))).over(whole)
     placed = placed.select("key", "id", "load", "component", main.alias("main"), F.min("component").over(whole).alias("low"), F.max("component").over(whole).alias("high"))
@@ -78,4 +80,5 @@ def resolve(
     others = placed.select("key", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("load").alias("la"), (F.col("component") == F.col("main")).alias("in_main"))
     rest = apart.join(others, (apart["key"] == others["key"]) & (F.col("ca") != F.col("cb")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & fits(F.col("la"), F.col("lb")))
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return links.unionByName(check(rest, f"{name}-rest"))
+    stars = found.filter("id <> component").select(F.col("component").alias("a"), F.col("id").alias("b"))
+    return stars.unionByName(check(rest, f"{name}-rest"))

@@ -72,7 +72,7 @@ def test_line_dedup(spark):
 
 def test_edit_similarity(spark):
     df = spark.createDataFrame([("a b c d".split(), "a x c d".split()), ("a".split(), "a".split())], "a array<string>, b array<string>")
-    assert [r["s"] for r in df.select(linededup.edit_similarity(F.col("a"), F.col("b")).alias("s")).collect()] == [0.75, 1.0]
+    assert [r["s"] for r in df.select(linededup.edit_similarity(*map(linededup.as_characters, map(F.col, "ab"))).alias("s")).collect()] == [0.75, 1.0]
 
 
 def test_fingerprints(spark):
