@@ -64,7 +64,7 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text without lines that occur before, exactly or nearly."""
-    return linededup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return linededup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), min_words=1)
 
 
 def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
