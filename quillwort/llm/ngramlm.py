@@ -1,14 +1,15 @@
 """Language-model scoring with a weighted backoff automaton.
 
-The model is a smoothed bigram model over words. Its automaton has a root and one state for each frequent word.
-A state has arcs for the words seen often after it, and a failure arc with a weight to the root, where every word
-has its smoothed unigram probability. A text is read once from left to right: the automaton is in the state of the
-last word, takes the arc of the next word if there is one, or else the failure arc and the root's arc, and adds up
-log10 probabilities.
-
-Unigram counts cover every word of all training texts; they stay distributed and are joined to the words that
-texts contain. What is broadcast has a bound by counting: no more than ``HEAD`` words can each be a ``HEAD``-th
-part of all tokens, and no more than ``ARCS`` bigrams an ``ARCS``-th part.
+The model is a smoothed bigram model over words. Its automaton has a root and one state for each word. A state has
+arcs for all words seen after it, and a failure arc with a weight to the root, where every word has its smoothed
+unigram probability. A text is read once from left to right: the automaton is in the state of the last word, takes
+the arc of the next word if there is one, or else the failure arc and the root's arc, and adds up log10
+probabilities.
+
+Unigram counts, failure weights and arcs cover all training texts; they stay distributed and are joined to the words
+and word pairs that texts contain. Frequent ones are broadcast besides, as a cache that changes no score. It has a
+bound by counting: no more than ``HEAD`` words can each be a ``HEAD``-th part of all tokens, and no more than
+``ARCS`` pairs an ``ARCS``-th part.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Words at hand in every worker are those with at least this part of all tokens; so are states and bigrams.
-HEAD, STATES, ARCS = 1 << 17, 1 << 14, 1 << 20
+#: Words at hand in every worker are those with at least this part of all tokens; so are pairs of such words.
+HEAD, ARCS = 1 << 17, 1 << 20
 DISCOUNT = 0.75
 #: The token after the last word. It cannot be a word, as words hold no white space.
 END = "\n"
@@ -40,6 +41,29 @@ def split(text: str | None) -> list[str]:
     return [w.decode("utf-8", "replace") for w in text.encode("utf-8", "replace").lower().split()] if text else []
 
 
+def _pairs(words: list[str]) -> list[str]:
+    """Each word, the end included, with the one before it; nothing stands before the first one."""
+    return list(map(" ".join, zip(["", *words], [*words, END], strict=True)))
+
+
+def bigrams(texts: DataFrame) -> DataFrame:
+    """(pair, n) of all pairs of tokens of the single column of ``texts``."""
+    name = texts.columns[0]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[str] = Counter()
+        for b in batches:
+            for text in b.column(name).to_pylist():
+                seen.update(_pairs(split(text)))
+                if len(seen) > _FLUSH:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["pair", "n"])
+                    seen.clear()
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["pair", "n"])
+
+    return texts.mapInArrow(count, "pair string, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+
+
 def unigrams(texts: DataFrame) -> DataFrame:
     """(word, c) of all tokens of the single column of ``texts``, ends included."""
     name = texts.columns[0]
@@ -88,21 +112,24 @@ class Automaton:
     def code(self, state: np.ndarray, word: np.ndarray) -> np.ndarray:
         return state.astype(np.int64) * (len(self.counts) + 1) + word
 
-    def build(self, pairs: np.ndarray, n: np.ndarray, followed: np.ndarray) -> None:
-        """Arcs from bigram codes with their counts; the failure arc of a state gets the probability left over."""
+    def build(self, pairs: np.ndarray, n: np.ndarray, followed: np.ndarray, rest: np.ndarray | None = None) -> None:
+        """Arcs from bigram codes with their counts; the failure arc of a state gets the probability left over.
+
+        ``rest`` gives what is left over where ``pairs`` are not all there are.
+        """
         order = np.argsort(pairs)
         pairs, n = pairs[order], n[order]
         state, word = pairs // (len(self.counts) + 1), pairs % (len(self.counts) + 1)
-        taken = np.bincount(state, weights=n - DISCOUNT, minlength=self.states)
-        rest = np.where(followed > 0, 1 - taken / np.maximum(followed, 1), 1.0)
+        if rest is None:
+            taken = np.bincount(state, weights=n - DISCOUNT, minlength=self.states)
+            rest = np.where(followed > 0, 1 - taken / np.maximum(followed, 1), 1.0)
         root = 10.0 ** self.base(self.counts)
         self.arcs = pairs
         self.weights = np.log10((n - DISCOUNT) / followed[state] + rest[state] * root[word])
         self.failure = np.log10(rest)
 
-    def traverse(self, ids: np.ndarray) -> tuple[float, np.ndarray]:
-        """Reads word ids (-1: a rare word) from the start state; log10 probability without the root arcs of rare
-        words, and where the root's arc was taken for one.
+    def taken(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The state before each word, its arc's place, and whether that arc is at hand.
 
         The state before each word depends on the word before it alone, so all steps are taken at once.
         """
@@ -111,7 +138,12 @@ class Automaton:
         codes = np.where((before >= 0) & (ids >= 0), self.code(before, ids), -1)
         at = np.searchsorted(self.arcs, codes)
         at[at == len(self.arcs)] = 0
-        found = (self.arcs[at] == codes) & (codes >= 0) if len(self.arcs) else np.zeros(len(ids), bool)
+        return before, at, (self.arcs[at] == codes) & (codes >= 0) if len(self.arcs) else np.zeros(len(ids), bool)
+
+    def traverse(self, ids: np.ndarray) -> tuple[float, np.ndarray]:
+        """Reads word ids (-1: a rare word) from the start state; log10 probability without the root arcs of rare
+        words, and where the root's arc was taken for one."""
+        before, at, found = self.taken(ids)
         score = self.weights[at[found]].sum() if found.any() else 0.0
         missed = ~found
         score += self.failure[before[missed & (before >= 0)]].sum()
@@ -123,66 +155,53 @@ class Automaton:
         return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
 
 
-def train(texts: DataFrame, head: int = HEAD, states: int = STATES, arcs: int = ARCS) -> tuple[Automaton, DataFrame]:
-    """The automaton of the single text column of ``texts``, and the distributed unigram counts (word, c).
+def train(texts: DataFrame, head: int = HEAD, arcs: int = ARCS) -> tuple[Automaton, DataFrame]:
+    """The cache of the automaton of the single text column of ``texts``, and the whole of it as a table.
 
+    The table (word, c, fail, gain) has a row for each word with its count and the weight of its state's failure arc
+    (null after an end), and one for each pair of words with what its arc gains over the failure arc and the root.
     Null texts count as empty ones, of which the end is the only token. Without any training text the root gives
     every token the same probability.
     """
     common.small_batches(texts.sparkSession)
-    name = texts.columns[0]
     counts = common.store(unigrams(texts), "lm-unigrams")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     model = Automaton(total, distinct)
-    often = counts.filter(F.col("c") * head >= total).orderBy(F.desc("c"), "word").toArrow() if total else None
-    if often is None or not often.num_rows:
-        return model, counts
-    # Word ids start at 1, most frequent first, so that states are the first ids; 0 is the start.
+    pairs = common.store(bigrams(texts).select("pair", "n", F.substring_index("pair", " ", 1).alias("prev"), F.substring_index("pair", " ", -1).alias("next")), "lm-bigrams")
+    contexts = pairs.groupBy("prev").agg(F.sum("n").alias("followed"), F.log10(DISCOUNT * F.count(F.lit(1)) / F.sum("n")).alias("fail"))
+    contexts = common.store(contexts, "lm-states")
+    root = F.log10((F.col("c") + 1) / F.lit(float(total + distinct + 1)))
+    gain = F.log10((F.col("n") - DISCOUNT) / F.col("followed") + F.pow(F.lit(10.0), F.col("fail") + root)) - F.col("fail") - root
+    arcs_of = common.store(pairs.join(contexts, "prev").join(counts.withColumnRenamed("word", "next"), "next").select("pair", "n", gain.alias("gain")), "lm-arcs")
+    states = common.store(counts.join(contexts.withColumnRenamed("prev", "word"), "word", "left").select("word", "c", "followed", "fail"), "lm-words")
+    table = states.select("word", "c", "fail", F.lit(None).cast("double").alias("gain")).unionByName(arcs_of.select(F.col("pair").alias("word"), F.lit(None).cast("long").alias("c"), F.lit(None).cast("double").alias("fail"), "gain"))
+    if not total:
+        return model, table
+    # Word ids start at 1, most frequent first; 0 is the start.
+    start = contexts.filter("prev = ''").first()
+    often = states.filter(F.col("c") * head >= total).orderBy(F.desc("c"), "word").select("word", "c", F.coalesce("followed", F.lit(0)).alias("followed"), F.coalesce("fail", F.lit(0.0)).alias("fail")).toArrow()
     model.words = {w: i + 1 for i, w in enumerate(often.column("word").to_pylist())}
     model.counts = np.concatenate(([0], often.column("c").to_numpy()))
-    model.states = 1 + int((model.counts[1:] * states >= total).sum())
-    shared = texts.sparkSession.sparkContext.broadcast(model)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        end, held, size = own.words.get(END, -1), [], 0
-
-        def out(codes: list[np.ndarray]) -> pa.RecordBatch:
-            pairs, n = np.unique(np.concatenate(codes), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n.astype(np.int64))], names=["pair", "n"])
-
-        for b in batches:
-            for text in b.column(name).to_pylist():
-                ids = np.append(own.ids(split(text)), end)
-                before = np.concatenate(([_START], ids[:-1]))
-                ok = (before >= 0) & (before < own.states) & (ids >= 0) & (ids < own.states)
-                held.append(own.code(before[ok], ids[ok]))
-                size += len(held[-1])
-                if size > 8 * _FLUSH:
-                    yield out(held)
-                    held, size = [], 0
-        if size:
-            yield out(held)
-
-    pairs = texts.mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    kept = pairs.filter((F.col("n") * arcs >= total) & (F.col("n") > 0)).toArrow()
-    followed = model.counts[: model.states].astype(np.float64)
-    followed[_START] = model.counts[model.words[END]] if END in model.words else 0
-    if END in model.words and model.words[END] < model.states:
-        followed[model.words[END]] = 0  # nothing follows an end
-    if kept.num_rows:
-        model.build(kept.column("pair").to_numpy(), kept.column("n").to_numpy(), followed)
-    else:
-        model.failure = np.zeros(model.states)
-    return model, counts
+    model.states = len(model.counts)
+    model.failure = np.concatenate(([start["fail"]], often.column("fail").to_numpy()))
+    followed = np.concatenate(([start["followed"]], often.column("followed").to_numpy())).astype(np.float64)
+    codes, n = [], []
+    for b in pairs.filter(F.col("n") * arcs >= total).select("prev", "next", "n").toArrow().to_batches():
+        for x, y, k in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if (not x or x in model.words) and y in model.words:
+                codes.append(model.words.get(x, _START) * (len(model.counts) + 1) + model.words[y])
+                n.append(k)
+    if codes:
+        model.build(np.array(codes, np.int64), np.array(n, np.int64), followed, 10.0**model.failure)
+    return model, table
 
 
 def score(docs: DataFrame, model: Automaton, counts: DataFrame, key: str = "doc_id", text: str = "text", flag: Column | None = None) -> DataFrame:
     """(key, flag, n_tokens, n_known, base_score, score) for every row of ``docs``, over whole texts.
 
-    base_score sums the root's log10 probabilities, score the automaton's. Words that are not at hand in a worker
-    are dealt out to be joined with their counts, once for each text they occur in, and their sums come back to
-    their text. A null text counts as empty. Rows that repeat keep a row each; other columns play no part.
+    base_score sums the root's log10 probabilities, score the automaton's. Words and pairs that are not at hand in a
+    worker are dealt out to be joined with the table ``counts`` of ``train``, once for each text they occur in, and
+    their sums come back to their text. A null text counts as empty. Rows that repeat keep a row each; other columns play no part.
     """
     common.small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -205,6 +224,10 @@ def score(docs: DataFrame, model: Automaton, counts: DataFrame, key: str = "doc_
                 passed, rare = own.traverse(ids)
                 tail: Counter[str] = Counter(words[j] for j in np.flatnonzero(~have))
                 alone: Counter[str] = Counter(words[j] for j in np.flatnonzero(rare))
+                # Pairs whose arc is not at hand were read as by the failure arc.
+                given = _pairs(words[:-1])
+                arcs: Counter[str] = Counter(given[j] for j in np.flatnonzero(~own.taken(ids)[2]))
+                tail.update(arcs)
                 n = 1 + len(tail)
                 out["row"] += [row] * n
                 out["word"] += [f"{END}{row}", *tail]
@@ -222,12 +245,13 @@ def score(docs: DataFrame, model: Automaton, counts: DataFrame, key: str = "doc_
             yield pa.RecordBatch.from_arrays(arrays, names=["row", "word", "times", "apart", "key", "flag", "tokens", "known", "base", "score"])
 
     met = rows.mapInArrow(read, schema).join(counts, "word", "left")
+    single = F.when(F.instr("word", " ") == 0, F.col("times")).otherwise(0)
     root = F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(model.total + model.distinct + 1)))
     return (
         met.groupBy("row").agg(
             F.max(F.struct(F.col("tokens"), F.col("key"), F.col("flag"))).alias("own"), F.sum("tokens").alias("n_tokens"),
             F.sum(F.col("known") + F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("n_known"),
-            F.sum(F.col("base") + F.col("times") * root).alias("base_score"),
-            F.sum(F.col("score") + F.col("apart") * root).alias("score"),
+            F.sum(F.col("base") + single * root).alias("base_score"),
+            F.sum(F.col("score") + F.col("apart") * root + F.col("times") * F.coalesce("fail", "gain", F.lit(0.0))).alias("score"),
         ).select(F.col("own.key").alias(key), F.col("own.flag").alias("flag"), "n_tokens", "n_known", "base_score", "score")
     )
