@@ -167,7 +167,7 @@ def train(texts: DataFrame, head: int = HEAD, arcs: int = ARCS) -> tuple[Automat
     counts = common.store(unigrams(texts), "lm-unigrams")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     model = Automaton(total, distinct)
-    pairs = common.store(bigrams(texts).select("pair", "n", F.substring_index("pair", " ", 1).alias("prev"), F.substring_index("pair", " ", -1).alias("next")), "lm-bigrams")
+    pairs = common.store(bigrams(texts), "lm-bigrams").select("pair", "n", F.substring_index("pair", " ", 1).alias("prev"), F.substring_index("pair", " ", -1).alias("next"))
     contexts = pairs.groupBy("prev").agg(F.sum("n").alias("followed"), F.log10(DISCOUNT * F.count(F.lit(1)) / F.sum("n")).alias("fail"))
     contexts = common.store(contexts, "lm-states")
     root = F.log10((F.col("c") + 1) / F.lit(float(total + distinct + 1)))
