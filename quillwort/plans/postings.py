@@ -274,6 +274,13 @@ def skill_extract(spark, d):
     return skills.skill_mentions(docs, "doc_id", "title", "description", SKILLS)
 
 
+@query()
+def skill_extract_whole(spark, d):
+    """Skills of every document, those with mail addresses included; the SQL of skill_extract leaves them out."""
+    docs = table(spark, d, "documents").select("doc_id", F.col("text").alias("description"), F.lit("").alias("title"))
+    return skills.skill_mentions(docs, "doc_id", "title", "description", SKILLS)
+
+
 def _jobs(spark: SparkSession, d: str) -> DataFrame:
     """Postings with repeated ids: every third document takes the id of another one."""
     docs = table(spark, d, "documents")
