@@ -29,7 +29,7 @@ PATTERNS = {
     "name": r"(?<![\p{L}\p{N}])(?:Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sr|Sra|Господин|Госпожа|Κύριος|Κυρία)\.?[  ]\p{Lu}[\p{L}'\-]{1,30}(?:[  ]\p{Lu}[\p{L}'\-]{1,30}){0,2}",
 }
 #: Every match of a pattern holds one of these.
-HINT = r"[0-9@]|(?i:password|passwd|pwd|token|secret|api[_\-]?key)|(?:Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sr|Sra|Господин|Госпожа|Κύριος|Κυρία)\.?[  ]"
+HINT = r"[0-9@]|A[KS]IA|(?i:password|passwd|pwd|token|secret|api[_\-]?key)|(?:Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sr|Sra|Господин|Госпожа|Κύριος|Κυρία)\.?[  ]"
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 FEMALE = r"^(?:Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Госпожа|Κυρία)\b"
 # The letters that stand for letters of each script and case.
@@ -43,6 +43,17 @@ ALPHABETS = {
     r"[\p{IsCyrillic}&&\p{Lu}]": "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЩЭЮЯ",
     r"[\p{IsGreek}&&\p{Ll}]": "αβγδεζηθικλμνξοπρστυφχψω",
     r"[\p{IsGreek}&&\p{Lu}]": "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
+    r"\p{IsHan}": "天地人山水火木金土日月星雨雪風花草鳥魚石田川海空",
+    r"\p{IsHiragana}": "あいうえおかきくけこさしすせそたちつてと",
+    r"\p{IsKatakana}": "アイウエオカキクケコサシスセソタチツテト",
+    r"\p{IsHangul}": "가나다라마바사아자차카타파하거너더러머버",
+    r"\p{IsArabic}": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي",
+    r"\p{IsHebrew}": "אבגדהוזחטיכלמנסעפצקרשת",
+    r"\p{IsDevanagari}": "कखगघचछजझटठडढणतथदधनपफबभमयरलवशषसह",
+    r"\p{IsThai}": "กขคงจฉชซญดตถทธนบปผพฟมยรลวสหอ",
+    # Letters of any other script, and its digits.
+    r"\p{L}": "abcdefghijklmnopqrstuvwxyz",
+    r"\p{N}": "0123456789",
 }
 # Given names by script and gender.
 GIVEN = {
@@ -53,8 +64,8 @@ GIVEN = {
     ("greek", "female"): "Άννα Δήμητρα Ελένη Ζωή Ηλέκτρα Ιωάννα Κάλλια Μαρία Νίκη Σοφία".split(),
     ("greek", "male"): "Άρης Γιώργος Δημήτρης Ηλίας Κώστας Λέων Μάρκος Νίκος Πέτρος Στέφανος".split(),
 }
-#: Surrogates of an entity that are tried before giving up.
-ATTEMPTS = 40
+#: Surrogates of an entity that are tried in its own form, and then with a growing suffix.
+ATTEMPTS, LONGER = 40, 16
 
 
 def _kind(mention: Column) -> Column:
@@ -125,21 +136,31 @@ def _surrogate(kind: Column, norm: Column, digest: Column) -> Column:
     ), keep, shaped
 
 
+def _lengthened(kind: Column, surrogate: Column, more: Column) -> Column:
+    """A surrogate with a part of a hex digest behind it, or behind the local part of an address."""
+    digits, letters = F.translate(more, "abcdef", "012345"), F.translate(more, "0123456789abcdef", "abcdefghijklmnop")
+    email = F.concat(F.substring_index(surrogate, "@", 1), digits, F.lit("@"), F.substring_index(surrogate, "@", -1))
+    return F.when(kind == "email", email).when(kind == "name", F.concat(surrogate, letters)).otherwise(F.concat(surrogate, digits))
+
+
 def assign(entities: DataFrame, secret: str) -> DataFrame:
     """(kind, norm, surrogate) for distinct entities (kind, norm), all surrogates different and none an entity.
 
     Candidates come from SHA-512 of key, type, entity and number of the attempt. Of entities with one candidate the
-    smallest gets it, unless it is taken or is an entity itself; the others try again.
+    smallest gets it, unless it is taken or is an entity itself; the others try again. After ``ATTEMPTS`` rounds
+    candidates are lengthened, 8 characters more in each round, so that a crowded type runs out of none.
     """
     pending = common.store(entities.select("kind", "norm"), "pii-entities")
     taken = pending.select(F.col("norm").alias("surrogate"))
     done: list[DataFrame] = []
-    for attempt in range(ATTEMPTS):
+    for attempt in range(ATTEMPTS + LONGER):
         digest = F.sha2(F.concat_ws("\x1f", F.lit(secret), "kind", "norm", F.lit(str(attempt))).cast("binary"), 512)
         rows = pending.withColumn("_digest", digest).withColumn("_norm", F.col("norm"))
         _, keep, shaped = _surrogate(F.col("kind"), F.col("norm"), F.col("_digest"))
         rows = rows.withColumn("_keep", keep).withColumn("_shaped", shaped)
         rows = rows.withColumn("surrogate", _surrogate(F.col("kind"), F.col("norm"), F.col("_digest"))[0])
+        if attempt >= ATTEMPTS:
+            rows = rows.withColumn("surrogate", _lengthened(F.col("kind"), F.col("surrogate"), F.substring("_digest", 1, 8 * (attempt - ATTEMPTS + 1))))
         rows = rows.select("kind", "norm", "surrogate")
         free = rows.join(taken.distinct(), "surrogate", "left_anti")
         first = Window.partitionBy("surrogate").orderBy("kind", "norm")
@@ -149,7 +170,7 @@ def assign(entities: DataFrame, secret: str) -> DataFrame:
         if pending.isEmpty():
             return reduce(DataFrame.unionByName, done)
         taken = taken.unionByName(won.select("surrogate"))
-    raise ValueError(f"no free surrogates within {ATTEMPTS} attempts: an entity type has nearly as many entities as surrogates")
+    raise ValueError("surrogates with 128 more characters of a digest are not free: the digests do not differ")
 
 
 def _formatted(kind: Column, mention: Column, surrogate: Column) -> Column:
