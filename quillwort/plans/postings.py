@@ -285,7 +285,7 @@ def _jobs(spark: SparkSession, d: str) -> DataFrame:
     """Postings with repeated ids: every third document takes the id of another one."""
     docs = table(spark, d, "documents")
     return docs.select(
-        F.col("doc_id").alias("ord"), F.col("lang").alias("source"), F.floor(F.col("doc_id") / 3).cast("string").alias("external_id"), F.substring("text", 1, 20).alias("title"),
+        F.col("doc_id").alias("ord"), F.col("lang").alias("source"), F.floor(F.col("doc_id") / 3).cast("string").alias("external_id"), F.split("text", "\n")[0].alias("title"),
         F.concat(F.lit("Company "), F.col("source")).alias("company"), F.lit("").alias("url"), F.col("text").alias("description"), F.lit("Recife, PE").alias("location"),
         F.lit("2026-06-01").alias("published_date"), F.when(F.col("doc_id") % 2 == 0, F.lit("")).otherwise(F.col("source")).alias("search_term"),
     )
