@@ -46,6 +46,45 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
+def meeting(entries: DataFrame, name: str) -> DataFrame:
+    """(key, id, pivot) of the ``entries`` (key, id) whose key several ids have; the pivot is the smallest of them."""
+    whole = Window.partitionBy("key")
+    met = entries.select("key", "id", F.min("id").over(whole).alias("pivot"), F.max("id").over(whole).alias("last"))
+    return common.store(met.filter("pivot <> last").select("key", "id", "pivot").distinct(), f"{name}-members")
+
+
+def linked(
+    members: DataFrame, check: Callable[[DataFrame, str], DataFrame], name: str, fits: Callable[[Column, Column], Column], tighten: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Pairs (a, b) that connect whatever is linked among ``members``, without pairing all ids of a key.
+
+    ``check`` keeps the linked ones of candidate pairs (a, b). First every id is compared with the pivot of its keys.
+    When the links found are joined to components, what lies outside the component of a key's pivot is compared with
+    the ids of all other components there. Pairs within a component are never needed, so the links left out are those
+    between ids that are connected already; the first links are given as the stars they form. Before that,
+    ``tighten`` gives a ``load`` to the rows (key, id, component, main) that are left, and pairs are made only if
+    ``fits`` their loads.
+    """
+    star = members.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+    links = check(star, f"{name}-star")
+    found = components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("node", "id")
+    found = common.store(found, f"{name}-first")
+
+    placed = members.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    whole = Window.partitionBy("key")
+    main = F.min(F.when(F.col("id") == F.col("pivot"), F.col("component"))).over(whole)
+    placed = placed.select("key", "id", "component", main.alias("main"), F.min("component").over(whole).alias("low"), F.max("component").over(whole).alias("high"))
+    placed = common.store(placed.filter("low <> high").drop("low", "high"), f"{name}-placed")
+    tight = common.store(tighten(placed), f"{name}-tight")
+    apart = tight.filter("component <> main").select("key", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("load").alias("lb"))
+    others = tight.select("key", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("load").alias("la"), (F.col("component") == F.col("main")).alias("in_main"))
+    rest = apart.join(others, (apart["key"] == others["key"]) & (F.col("ca") != F.col("cb")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & fits(F.col("la"), F.col("lb")))
+    # Pairs with the pivot have been checked.
+    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
+    stars = found.filter("id <> component").select(F.col("component").alias("a"), F.col("id").alias("b"))
+    return stars.unionByName(check(rest, f"{name}-rest"))
+
+
 def resolve(
     entries: DataFrame, fits: Callable[[Column, Column], Column], check: Callable[[DataFrame, str], DataFrame], name: str,
     tighten: Callable[[DataFrame], DataFrame] | None = None,
