@@ -54,70 +54,43 @@ def meeting(entries: DataFrame, name: str) -> DataFrame:
 
 
 def linked(
-    members: DataFrame, check: Callable[[DataFrame, str], DataFrame], name: str, fits: Callable[[Column, Column], Column], tighten: Callable[[DataFrame], DataFrame],
+    members: DataFrame, check: Callable[[DataFrame, str], DataFrame], name: str, fits: Callable[[Column, Column], Column], tighten: Callable[[DataFrame], DataFrame], gradual: bool = False,
 ) -> DataFrame:
     """Pairs (a, b) that connect whatever is linked among ``members``, without pairing all ids of a key.
 
-    ``check`` keeps the linked ones of candidate pairs (a, b). First every id is compared with the pivot of its keys.
-    When the links found are joined to components, what lies outside the component of a key's pivot is compared with
-    the ids of all other components there. Pairs within a component are never needed, so the links left out are those
-    between ids that are connected already; the first links are given as the stars they form. Before that,
-    ``tighten`` gives a ``load`` to the rows (key, id, component, main) that are left, and pairs are made only if
-    ``fits`` their loads.
+    ``check`` keeps the linked ones of candidate pairs (a, b). First every id is compared with the pivots of its
+    keys; if ``gradual``, with the smallest of them before the others, of which those that are connected by then are
+    left out. When the links found are joined to components, what lies outside the component of a key's pivot is
+    compared with the ids of all other components there. Pairs within a component are never needed, so the links left
+    out are those between ids that are connected already; the first links are given as the stars they form. Before
+    the last step, ``tighten`` gives a ``load`` to the rows (key, id, component, main) that are left, and pairs are
+    made only if ``fits`` their loads.
     """
-    star = members.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    links = check(star, f"{name}-star")
-    found = components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("node", "id")
-    found = common.store(found, f"{name}-first")
+    star = common.store(members.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), f"{name}-pairs")
+
+    def joined(links: DataFrame) -> DataFrame:
+        found = components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("node", "id")
+        return common.store(found, f"{name}-joined")
+
+    if gradual:
+        links = check(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), f"{name}-nearest")
+        found = joined(links)
+        of = lambda x: found.select(F.col("id").alias(x), F.col("component").alias(f"c{x}"))
+        apart = star.join(of("a"), "a", "left").join(of("b"), "b", "left").filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+        links = links.unionByName(check(apart, f"{name}-star"))
+    else:
+        links = check(star, f"{name}-star")
+    found = joined(links)
 
     placed = members.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     whole = Window.partitionBy("key")
     main = F.min(F.when(F.col("id") == F.col("pivot"), F.col("component"))).over(whole)
     placed = placed.select("key", "id", "component", main.alias("main"), F.min("component").over(whole).alias("low"), F.max("component").over(whole).alias("high"))
-    placed = common.store(placed.filter("low <> high").drop("low", "high"), f"{name}-placed")
-    tight = common.store(tighten(placed), f"{name}-tight")
+    tight = common.store(tighten(placed.filter("low <> high").drop("low", "high")), f"{name}-tight")
     apart = tight.filter("component <> main").select("key", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("load").alias("lb"))
     others = tight.select("key", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("load").alias("la"), (F.col("component") == F.col("main")).alias("in_main"))
     rest = apart.join(others, (apart["key"] == others["key"]) & (F.col("ca") != F.col("cb")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & fits(F.col("la"), F.col("lb")))
-    # Pairs with the pivot have been checked.
+    # Pairs with a pivot have been checked.
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
     stars = found.filter("id <> component").select(F.col("component").alias("a"), F.col("id").alias("b"))
     return stars.unionByName(check(rest, f"{name}-rest"))
-
-
-def resolve(
-    entries: DataFrame, fits: Callable[[Column, Column], Column], check: Callable[[DataFrame, str], DataFrame], name: str,
-    tighten: Callable[[DataFrame], DataFrame] | None = None,
-) -> DataFrame:
-    """Pairs (a, b) that connect whatever is linked among the candidates, without pairing all of a key's entries.
-
-    ``entries`` are rows (key, id, load); those with one key are candidates if ``fits`` their loads, and ``check``
-    keeps the linked ones of candidate pairs (a, b). First every entry is compared with the first of its key. When
-    the links found are joined to components, what lies outside the component of a key's first entry is compared
-    with the entries of all other components there. Pairs within a component are never needed, so the links left
-    out are those between documents that are connected already; the first links are given as the stars they form.
-    Before that, ``tighten`` may change the loads of these entries (key, id, load, ...), so that ``fits`` rules out
-    more of the pairs that cannot be linked.
-    """
-    whole = Window.partitionBy("key").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    members = entries.select("key", "id", "load", F.first("id").over(whole).alias("pivot"), F.first("load").over(whole).alias("pivot_load"), F.last("id").over(whole).alias("last"))
-    members = common.store(members.filter("pivot <> last").drop("last"), f"{name}-members")
-    star = members.filter((F.col("id") != F.col("pivot")) & fits(F.col("pivot_load"), F.col("load")))
-    links = check(star.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), f"{name}-star")
-    found = components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("node", "id")
-    found = common.store(found, f"{name}-first")
-
-    placed = members.select("key", "id", "load", "pivot").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    whole = Window.partitionBy("key")
-    main = F.min(F.when(F.col("id") == F.col("pivot"), F.col("component"))).over(whole)
-    placed = placed.select("key", "id", "load", "component", main.alias("main"), F.min("component").over(whole).alias("low"), F.max("component").over(whole).alias("high"))
-    placed = common.store(placed.filter("low <> high").drop("low", "high"), f"{name}-placed")
-    common.discard(members)
-    if tighten is not None:
-        placed = common.store(tighten(placed), f"{name}-tight")
-    apart = placed.filter("component <> main").select("key", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("load").alias("lb"))
-    others = placed.select("key", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("load").alias("la"), (F.col("component") == F.col("main")).alias("in_main"))
-    rest = apart.join(others, (apart["key"] == others["key"]) & (F.col("ca") != F.col("cb")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & fits(F.col("la"), F.col("lb")))
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    stars = found.filter("id <> component").select(F.col("component").alias("a"), F.col("id").alias("b"))
-    return stars.unionByName(check(rest, f"{name}-rest"))

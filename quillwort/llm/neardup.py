@@ -7,13 +7,16 @@ by the pigeonhole principle. Documents that share a key are candidates, and a li
 
 Equal sets form one class and are represented by one document. Within a key, candidates are not all paired: first
 everything is compared with one pivot; after the confirmed links have been joined to components, only documents of
-different components are still compared. No link between components is lost by that.
+different components are still compared. No link between components is lost by that. Texts move only for pairs whose
+parities allow for a link: a set has ``PARITIES`` bits, each the parity of how many of its shingles fall to it, and
+two sets differ in at least as many shingles as bits.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -23,14 +26,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .components import components, resolve
+from .components import components, linked, meeting
 
 #: Bits kept of each minhash value, values of a chunk, and values of a chunk that may differ.
 BITS, WIDTH, ERRORS = 16, 7, 1
 #: The chance that a pair right at the threshold shares no key decides the number of chunks.
 MISS = 5e-6
-#: Documents of a key from which on their lone shingles are counted.
-CROWDED = 8
+#: Bits of shingle parities.
+PARITIES = 512
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 _REMEMBERED = 500_000
 
@@ -112,21 +115,42 @@ class Signer:
         return out.reshape(-1).view(np.int64)
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """The parity of how many shingles fall to each of ``PARITIES`` bits, as numbers of 64 bits."""
+    odd = np.bincount((_mixed(shingles) % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _fingerprinted(docs: DataFrame, chunks: int, words: int) -> DataFrame:
-    """(id, n, cls, keys) of every document; cls tells equal sets, and is null for empty ones."""
+    """(id, n, cls, keys, odd) of every document; cls tells equal sets, and is null for empty ones."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, signer = Shingler(words), Signer(chunks)
         for b in batches:
-            sizes, classes, keys = [], [], []
+            sizes, classes, keys, odd = [], [], [], []
             for text in b.column("text").to_pylist():
                 s = shingler.shingles(text)
                 sizes.append(len(s))
                 classes.append(xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None)
                 keys.append(signer.keys(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(sizes, pa.int64()), pa.array(classes, pa.string()), pa.array(keys, pa.list_(pa.int64()))], names=["id", "n", "cls", "keys"])
+                odd.append(parities(s) if len(s) else None)
+            lists = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(sizes, pa.int64()), pa.array(classes, pa.string()), pa.array(keys, lists), pa.array(odd, lists)], names=["id", "n", "cls", "keys", "odd"])
+
+    return docs.mapInArrow(sign, "id long, n long, cls string, keys array<bigint>, odd array<bigint>")
 
-    return docs.mapInArrow(sign, "id long, n long, cls string, keys array<bigint>")
+
+def may_be_linked(percent: int) -> Callable[[Column, Column], Column]:
+    """Whether sets with these sizes and parities can be linked at all; a null load bounds nothing."""
+
+    def fits(x: Column, y: Column) -> Column:
+        apart = reduce(Column.__add__, (F.bit_count(x[f"odd{i}"].bitwiseXOR(y[f"odd{i}"])) for i in range(PARITIES // 64)))
+        both = x["n"] + y["n"]
+        # At most half of what the sets hold besides their differences is shared, and the smaller set at most.
+        shared = F.least((both - F.greatest(apart, F.abs(x["n"] - y["n"]))) / 2, x["n"], y["n"])
+        return x.isNull() | y.isNull() | (shared * (100 + percent) >= both * percent)
+
+    return fits
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
@@ -153,34 +177,6 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int, words: int) ->
     return both.mapInArrow(check, "a long, b long")
 
 
-def _lone(placed: DataFrame, texts: DataFrame, once: DataFrame, words: int) -> DataFrame:
-    """``placed`` with the number of lone shingles in the loads of crowded keys.
-
-    Documents of a crowded key are often copies of one text, each edited for itself. A shingle that only one of all
-    documents in crowded keys has is shared with none of them, which bounds what two of them can share. Outside
-    crowded keys, and for ids that stand for several texts, the number stays 0, which bounds nothing.
-    """
-    crowded = placed.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= CROWDED).select("key", F.lit(True).alias("crowd"))
-    placed = common.store(placed.join(crowded, "key", "left"), "near-crowded")
-    ids = placed.filter("crowd").select("id").distinct()
-
-    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(words)
-        for b in batches:
-            sets = [shingler.shingles(t).view(np.int64) for t in b.column("text").to_pylist()]
-            owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-            if len(owner):
-                yield pa.RecordBatch.from_arrays([b.column("id").take(pa.array(owner)), pa.array(np.concatenate(sets))], names=["id", "h"])
-
-    held = texts.join(ids, "id", "left_semi").select("id", "text").mapInArrow(shingle, "id long, h long")
-    # Two texts of one id may hold one shingle twice; min and max tell whether two ids do.
-    alone = held.groupBy("h").agg(F.min("id").alias("id"), F.max("id").alias("other")).filter("id = other")
-    lone = alone.groupBy("id").agg(F.count(F.lit(1)).alias("lone")).join(once, "id", "left_semi")
-    got = placed.join(lone, "id", "left")
-    n = F.when(F.col("crowd"), F.coalesce("lone", F.lit(0))).otherwise(0).cast("long")
-    return got.select("key", "id", F.struct(F.col("load.n").alias("n"), n.alias("lone")).alias("load"), "component", "main")
-
-
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, words: int = 5) -> DataFrame:
     """(key, n_shingles, component_id, kept) for every row of ``docs``, over whole texts.
 
@@ -193,31 +189,30 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     common.small_batches(docs.sparkSession)
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     signed = common.store(_fingerprinted(rows, chunks_for(percent / 100), words), "near-signed")
-    classes = signed.filter("id is not null and cls is not null").groupBy("cls").agg(F.min("id").alias("rep"), F.first("n").alias("n"))
+    load = F.struct("n", *[F.get("odd", F.lit(i)).alias(f"odd{i}") for i in range(PARITIES // 64)])
+    classes = signed.filter("id is not null and cls is not null").groupBy("cls").agg(F.min("id").alias("rep"), F.first(load).alias("load"), F.first("keys").alias("keys"))
     classes = common.store(classes, "near-classes")
-    reps = signed.join(classes.select("cls", "rep"), (signed["cls"] == classes["cls"]) & (signed["id"] == classes["rep"]), "left_semi").dropDuplicates(["id", "cls"])
-    texts = rows.filter("id is not null")
+    # An id that stands for several texts has no load, which bounds nothing.
+    loads = common.store(classes.groupBy(F.col("rep").alias("id")).agg(F.when(F.count(F.lit(1)) == 1, F.first("load")).alias("load")), "near-loads")
+    fits = may_be_linked(percent)
 
-    def fits(x: Column, y: Column) -> Column:
-        """Whether sets of these sizes, with so many shingles that none of the others has, can be linked at all."""
-        shared = F.least(x["n"] - x["lone"], y["n"] - y["lone"])
-        return shared * 100 >= (x["n"] + y["n"] - shared) * percent
+    members = meeting(classes.select(F.col("rep").alias("id"), F.explode("keys").alias("key")), "near")
+    texts = common.store(rows.join(members.select("id").distinct(), "id", "left_semi"), "near-texts")
 
     def check(pairs: DataFrame, name: str) -> DataFrame:
-        wanted = common.store(pairs, f"{name}-pairs")
-        ids = wanted.select(F.col("a").alias("id")).union(wanted.select("b")).distinct()
-        return common.store(_confirmed(wanted, texts.join(ids, "id", "left_semi"), percent, words), name)
-
-    load = F.struct("n", F.lit(0).cast("long").alias("lone")).alias("load")
-    once = reps.groupBy("id").agg(F.count(F.lit(1)).alias("c")).filter("c = 1").select("id")
+        side = lambda x: loads.select(F.col("id").alias(x), F.col("load").alias(f"l{x}"))
+        wanted = pairs.join(side("a"), "a").join(side("b"), "b").filter(fits(F.col("la"), F.col("lb"))).select("a", "b")
+        return common.store(_confirmed(wanted, texts, percent, words), name)
 
-    def tighten(placed: DataFrame) -> DataFrame:
-        return _lone(placed, texts, once, words)
+    def loaded(apart: DataFrame) -> DataFrame:
+        return apart.join(loads, "id")
 
-    links = resolve(reps.select("id", load, F.explode("keys").alias("key")), fits, check, "near", tighten)
-    same = classes.join(signed.filter("id is not null").select("id", "cls"), "cls").filter("id <> rep").select(F.col("id").alias("u"), F.col("rep").alias("v"))
+    links = linked(members, check, "near", fits=fits, tighten=loaded, gradual=True)
+    same = classes.select("cls", "rep").join(signed.filter("id is not null").select("id", "cls"), "cls").filter("id <> rep").select(F.col("id").alias("u"), F.col("rep").alias("v"))
     edges = links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(same)
     final = common.store(components(edges), "near-components")
+    for used in (members, texts, loads, classes):
+        common.discard(used)
     out = signed.select(F.col("id").alias("_id"), F.col("n").alias("n_shingles")).join(final.withColumnRenamed("node", "_id"), "_id", "left")
     component = F.coalesce("component", "_id")
     return out.select(F.col("_id").alias(key), "n_shingles", component.alias("component_id"), F.coalesce(F.col("_id") == component, F.lit(True)).alias("kept"))
