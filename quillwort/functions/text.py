@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import html
+import html.entities
+import json
 import re
-import sys
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache, reduce
 
 from pyspark.sql import Column
@@ -15,9 +17,9 @@ SPACES = r"(?U)\s+"
 
 
 @lru_cache(1)
-def _folding() -> tuple[str, str, list[tuple[str, str]]]:
-    """From the Unicode tables: characters that fold to one character, then those that vanish; and common longer ones."""
-    one, gone, longer = [], [], []
+def _folding() -> tuple[str, str, dict[str, str]]:
+    """From the Unicode tables: characters that fold to one character, then those that vanish; and those that expand."""
+    one, gone, longer = [], [], {}
     for i in range(0xA0, 0x20000):
         c = chr(i)
         if 0xD800 <= i < 0xE000:
@@ -29,15 +31,40 @@ def _folding() -> tuple[str, str, list[tuple[str, str]]]:
             gone.append(c)
         elif len(base) == 1:
             one.append((c, base))
-        elif i < 0x180 or c in "ﬁﬂ™№…":
-            longer.append((c, base))
+        elif not "가" <= c <= "힣":  # Korean syllables fall apart into letters that no later step keeps
+            longer[c] = base
     return "".join(c for c, _ in one) + "".join(gone), "".join(b for _, b in one), longer
 
 
+def _looked_up(entries: dict[str, str]) -> Column:
+    """A map of constants, which is built once."""
+    return F.from_json(F.lit(json.dumps(entries)), "map<string,string>")
+
+
+@lru_cache(1)
+def _expanding() -> str:
+    """A pattern of one character that expands to several, as ranges."""
+    points, ranges = sorted(map(ord, _folding()[2])), []
+    for x in points:
+        if ranges and ranges[-1][1] == x - 1:
+            ranges[-1][1] = x
+        else:
+            ranges.append([x, x])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "]"
+
+
 def fold_accents(text: Column) -> Column:
-    """Compatibility forms without combining marks; rare characters that expand to several stay."""
+    """Compatibility forms without combining marks. Texts without characters that expand to several skip that step."""
     source, target, longer = _folding()
-    return F.translate(reduce(lambda x, pair: F.replace(x, F.lit(pair[0]), F.lit(pair[1])), longer, text), source, target)
+    known = _looked_up(longer)
+    expanded = F.array_join(F.transform(F.split(text, ""), lambda c: F.when(c.rlike(_expanding()), F.element_at(known, c)).otherwise(c)), "")
+    wide = (F.octet_length(text) > F.length(text)) & text.rlike(_expanding())
+    return F.translate(F.when(wide, expanded).otherwise(text), source, target)
+
+
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` uses it."""
+    return F.transform(F.array(value), f)[0]
 
 
 def squeeze(text: Column) -> Column:
@@ -64,34 +91,42 @@ def normalize_level(text: Column) -> Column:
     return _kept(F.regexp_replace(fold_accents(F.coalesce(text, F.lit(""))), r"(?i)\bpl\s*/\s*i\b", "pli"), "a-z0-9. ")
 
 
-def strip_html(raw: Column) -> Column:
-    """Text without tags, with the common character references decoded, in single blanks."""
-    text = F.regexp_replace(F.coalesce(raw, F.lit("")), "<[^>]+>", " ")
-    # References that occur in ordinary pages; the ampersand comes last.
-    for name in "lt gt quot apos nbsp copy reg middot ndash mdash hellip laquo raquo ldquo rdquo lsquo rsquo bull deg euro ordm ordf".split():
-        text = F.replace(text, F.lit(f"&{name};"), F.lit(html.unescape(f"&{name};")))
-    for accented in "áàâãäéèêëíìîïóòôõöúùûüçñÁÀÂÃÉÊÍÓÔÕÚÇ":
-        name = _entity(accented)
-        text = F.replace(text, F.lit(name), F.lit(accented))
-    for number in ("39", "160", "8211", "8226"):
-        text = F.replace(text, F.lit(f"&#{number};"), F.lit(html.unescape(f"&#{number};")))
-    return squeeze(F.replace(text, F.lit("&amp;"), F.lit("&")))
+#: References: by number, in either base, or by name; the end mark may be missing where pages of old left it out.
+_LEGACY = "|".join(sorted((re.escape(n) for n in html.entities.html5 if not n.endswith(";")), key=len, reverse=True))
+_REFERENCE = rf"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]{{1,31}};|(?:{_LEGACY}))"
+# What numbers from 128 to 159 stand for, as pages written on another system's character set have them.
+_WINDOWS = {i: html.unescape(f"&#{i};") for i in range(0x80, 0xA0)}
 
 
-@lru_cache(None)
-def _entity(c: str) -> str:
-    return "&" + html.entities.codepoint2name[ord(c)] + ";" if ord(c) in html.entities.codepoint2name else c
+def decode_references(text: Column) -> Column:
+    """Text with every character reference of HTML decoded, as browsers do."""
+    named = _looked_up({n: v for n, v in html.entities.html5.items()})
+    windows = _looked_up({str(i): v for i, v in _WINDOWS.items()})
 
+    def decoded(ref: Column) -> Column:
+        body = F.regexp_replace(F.substring(ref, F.lit(2), F.length(ref)), ";$", "")
+        digits = F.regexp_replace(body, "^#[xX]?", "")
+        wide = F.length(F.regexp_replace(digits, "^0+", "")) > 8
+        number = F.when(wide, F.lit(0x110000)).otherwise(F.when(body.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).cast("long"))
+        bad = (number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF)
+        none = number.between(1, 8) | number.between(0x0E, 0x1F) | number.between(0xFDD0, 0xFDEF) | (number == 0x0B) | (number.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+        character = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        by_number = F.when(bad, "\ufffd").when(number.between(0x80, 0x9F), F.element_at(windows, number.cast("string"))).when(none, "").otherwise(character)
+        name = F.substring(ref, F.lit(2), F.length(ref))
+        # A name that is unknown as a whole may begin with one that needs no end mark.
+        old = F.regexp_extract(name, f"^(?:{_LEGACY})", 0)
+        begun = F.when(old != "", F.concat(F.element_at(named, old), F.substring(name, F.length(old) + 1, F.length(name)))).otherwise(ref)
+        return F.when(body.startswith("#"), by_number).otherwise(F.coalesce(F.try_element_at(named, name), begun))
 
-def strip_html_full(raw: Column) -> Column:
-    """As ``strip_html`` with every character reference of HTML; an Arrow UDF, for texts that need it."""
-    import pandas as pd
+    found = F.transform(F.regexp_extract_all(text, F.lit(f"({_REFERENCE})"), F.lit(1)), decoded)
+    kept = F.split(text, _REFERENCE, -1)
+    joined = F.array_join(F.flatten(F.zip_with(kept, found, lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
+    return F.when(F.contains(text, F.lit("&")), joined).otherwise(text)
 
-    @F.pandas_udf("string")
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda x: re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]+>", " ", x or ""))).strip())
 
-    return run(raw)
+def strip_html(raw: Column) -> Column:
+    """Text without tags, with character references decoded, in single blanks."""
+    return squeeze(decode_references(F.regexp_replace(F.coalesce(raw, F.lit("")), "<[^>]+>", " ")))
 
 
 def remove_links(text: Column) -> Column:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.places import REMOTE, UNKNOWN
+from ..functions.workplace import REMOTE, UNKNOWN
 from ..functions.text import holds_phrase, normalize, normalize_level, padded
 from . import phrases
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.places import ORDER, UNKNOWN
+from ..functions.workplace import ORDER, UNKNOWN
 
 # Thresholds of the rules, and sources whose volume says nothing.
 VOLATILE = ["abler", "recrutei"]

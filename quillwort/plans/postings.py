@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import dates, declared, links, numbers, places, text
+from ..functions import dates, links, numbers, places, text, workplace
 from ..operators import classify as K
 from ..operators import merge as M
 from ..operators import phrases, quality, resolve, skills
@@ -117,7 +117,7 @@ _LABELS = {"On-site": "Presencial", "HÍBRIDO": "Híbrido", "Home Office (100%)"
 
 @query(_expected("c_custkey", "customer", "workplace", list(_LABELS.values())))
 def normalize_workplace(spark, d):
-    return _cases(table(spark, d, "customer"), "c_custkey", list(_LABELS)).select("c_custkey", places.normalize_workplace(F.col("raw")).alias("workplace"))
+    return _cases(table(spark, d, "customer"), "c_custkey", list(_LABELS)).select("c_custkey", workplace.normalize_workplace(F.col("raw")).alias("workplace"))
 
 
 _TEXTS = {
@@ -128,7 +128,7 @@ _TEXTS = {
 
 @query(_expected("c_custkey", "customer", "workplace", list(_TEXTS.values())))
 def workplace_infer(spark, d):
-    got = places.infer_workplace(F.lit(""), F.lit("Recife, PE"), F.lit("Analista"), F.col("raw"))
+    got = workplace.infer_workplace(F.lit(""), F.lit("Recife, PE"), F.lit("Analista"), F.col("raw"))
     return _cases(table(spark, d, "customer"), "c_custkey", list(_TEXTS)).select("c_custkey", got.alias("workplace"))
 
 
@@ -140,7 +140,7 @@ _DECLARED = {
 
 @query(_expected("c_custkey", "customer", "workplace", list(_DECLARED.values())))
 def workplace_declared_source(spark, d):
-    got = declared.infer_declared(F.lit(""), F.lit(False), F.lit("Recife, PE"), F.lit("Analista"), F.col("raw"))
+    got = workplace.infer_declared(F.lit(""), F.lit(False), F.lit("Recife, PE"), F.lit("Analista"), F.col("raw"))
     return _cases(table(spark, d, "customer"), "c_custkey", list(_DECLARED)).select("c_custkey", got.alias("workplace"))
 
 

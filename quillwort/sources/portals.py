@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import FLOOR, epoch_day
-from ..functions.places import normalize_workplace
+from ..functions.workplace import normalize_workplace
 from ..functions.text import normalize, squeeze, strip_html
 
 #: Order in which sources are united.
