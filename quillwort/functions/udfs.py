@@ -1,4 +1,4 @@
-"""The functions as SQL: temporary SQL functions without Python, and a table function for LATERAL."""
+"""Functions for SQL text: Arrow UDFs of the normalisations, and a table function for LATERAL."""
 
 from __future__ import annotations
 
@@ -6,12 +6,6 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.skills import SkillRules, masked
-from . import links, places, text
-
-FUNCTIONS = {
-    "job_normalize": text.normalize, "job_normalize_tech": text.normalize_tech, "job_link_identity": links.link_identity,
-    "job_location": places.normalize_location, "job_workplace": places.normalize_workplace,
-}
 
 
 def register(spark: SparkSession) -> list[str]:

@@ -123,7 +123,10 @@ def masked(raw: str, rules: SkillRules) -> tuple[str, str]:
 
 
 def mask(text: Column, rules: SkillRules) -> Column:
-    """struct(raw, folded) after masking; null counts as empty."""
+    """struct(raw, folded) after masking; null counts as empty. Without sections and contexts it stays on the JVM."""
+    if not (rules.discard or rules.content or rules.contexts):
+        raw = F.coalesce(text, F.lit(""))
+        return F.struct(raw.alias("raw"), normalize_tech(raw).alias("folded"))
 
     @F.pandas_udf("raw string, folded string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

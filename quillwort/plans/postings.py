@@ -11,6 +11,7 @@ from ..functions import dates, links, numbers, places, text, workplace
 from ..operators import classify as K
 from ..operators import merge as M
 from ..operators import phrases, quality, resolve, skills
+from ..sources import portals
 from ..streaming import ingest
 from .reports import table
 
@@ -236,10 +237,9 @@ def exclusion_filter(spark, d):
 @query("SELECT doc_id, lang FROM documents WHERE NOT (lang = 'de' AND source <> 'src0')")
 def intermediary_antijoin(spark, d):
     """Postings that a selected native source has itself are not taken from others."""
-    native = spark.createDataFrame([("de", "src0")], "company string, native string")
-    docs = table(spark, d, "documents").alias("x")
-    hit = (F.col("x.lang") == F.col("company")) & (F.col("x.source") != F.col("native"))
-    return docs.join(F.broadcast(native), hit, "left_anti").select("doc_id", "lang")  # native: a rule table
+    native = spark.createDataFrame([("de", "src0")], "company_key string, native string")
+    docs = table(spark, d, "documents").withColumn("company", F.col("lang"))
+    return portals.drop_intermediaries(docs, native, ["src0"]).select("doc_id", "lang")
 
 
 _LEVEL = f"WITH {D}, e AS (SELECT doc_id, CASE WHEN contains(t, ' is ') THEN 'Estágio' WHEN contains(t, ' und ') OR contains(t, ' are ') THEN 'Júnior' END AS explicit, contains(t, ' of ') AS above, contains(t, ' and ') AS inferred FROM n) "
@@ -264,19 +264,11 @@ def geo_classify(spark, d):
     return got.select("n_nationkey", "g.hub", "g.region")
 
 
-_SKILL = [("Of", "of the"), ("Of", "de la"), ("In", "in"), ("In", "en"), ("Und", "und die"), ("Blend", "blend"), ("Worth", "worthless"), ("Worth", "stupid")]
-_TECH = "' ' || trim(regexp_replace(regexp_replace(lower(strip_accents(text)), '[^a-z0-9#+ ]+', ' ', 'g'), ' +', ' ', 'g')) || ' '"
-
-
-@query(f"WITH c AS (SELECT doc_id, {_TECH} AS b FROM documents WHERE text NOT LIKE '%@%') SELECT DISTINCT doc_id, skill FROM c, (VALUES " + ", ".join(f"('{s}', ' {a} ')" for s, a in _SKILL) + ") v(skill, a) WHERE contains(b, a)")
-def skill_extract(spark, d):
-    docs = table(spark, d, "documents").filter("text not like '%@%'").select("doc_id", F.col("text").alias("description"), F.lit("").alias("title"))
-    return skills.skill_mentions(docs, "doc_id", "title", "description", SKILLS)
 
 
 @query()
 def skill_extract_whole(spark, d):
-    """Skills of every document, those with mail addresses included; the SQL of skill_extract leaves them out."""
+    """Skills of every document, those with mail addresses included."""
     docs = table(spark, d, "documents").select("doc_id", F.col("text").alias("description"), F.lit("").alias("title"))
     return skills.skill_mentions(docs, "doc_id", "title", "description", SKILLS)
 
@@ -380,15 +372,14 @@ def freshness(spark, d):
 
 @query("SELECT CAST(ts AS DATE)::VARCHAR AS day, count(*) AS n FROM events GROUP BY 1")
 def stream_daily_counts(spark, d):
-    """Rows per day by a stream over the event file, run to its end."""
+    """Rows per day by a stream over the event file, run to its end; batches add up in versions of a table."""
     import uuid
 
-    name = f"daily_{uuid.uuid4().hex}"
+    at = f"{spark.conf.get('spark.checkpoint.dir', '') or spark.conf.get('spark.sql.warehouse.dir')}/quillwort/daily-{uuid.uuid4().hex}"
+    versions = ingest.Snapshots(spark, f"{at}/versions")
     stream = ingest.arrivals(spark, f"{d}/events*", table(spark, d, "events").schema)
-    at = f"{spark.conf.get('spark.checkpoint.dir', '/tmp/checkpoints')}/{name}"
-    counts = stream.groupBy(F.to_date("ts").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("n"))
-    counts.writeStream.outputMode("complete").option("checkpointLocation", at).trigger(availableNow=True).format("memory").queryName(name).start().awaitTermination()
-    return spark.table(name)
+    ingest.merge_stream(stream, versions, lambda saved, batch: ingest.add_days(saved, batch, "ts"), f"{at}/progress").awaitTermination()
+    return versions.read().select(F.col("day").cast("string").alias("day"), "n")
 
 
 @query("SELECT page_id, url FROM (SELECT page_id, url, row_number() OVER (PARTITION BY regexp_replace(url, '[?#].*$', '') ORDER BY page_id) r FROM pages) WHERE r = 1")

@@ -7,7 +7,9 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import dates
 from ..operators import analytics as A
+from ..operators.merge import incomplete
 
 REFERENCE = "1997-06-30"
 
@@ -115,8 +117,8 @@ def workplace_ranking(spark, d):
 
 @query(f"WITH {P}, {M}, {S}, {C} SELECT * FROM (SELECT area, skill, n, row_number() OVER (PARTITION BY area ORDER BY n DESC, skill) AS position FROM c) WHERE position <= 10")
 def skills_by_area_topn(spark, d):
-    order = Window.partitionBy("area").orderBy(F.desc("n"), "skill")
-    return area_skill_counts(spark, d).withColumn("position", F.row_number().over(order).cast("long")).filter("position <= 10")
+    met = postings(spark, d).select("id", "area").join(mentions(spark, d), "id").join(skills(spark, d), "skill_id")
+    return A.top_per_group(met.select("id", "area", "skill").distinct(), "area", "skill", 10)
 
 
 @query(f"WITH {P}, {M} SELECT area, count(DISTINCT id) n FROM p JOIN m USING (id) GROUP BY area")
@@ -234,7 +236,7 @@ def recent_window(spark, d):
 @query("SELECT CAST(ts - INTERVAL 3 HOUR AS DATE) AS day, count(*) n FROM events GROUP BY 1", days=("day",))
 def new_rows_by_day(spark, d):
     """Rows per day of a fixed offset of three hours behind UTC."""
-    return table(spark, d, "events").groupBy(F.to_date(F.expr("ts - interval 3 hours")).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return table(spark, d, "events").groupBy(dates.local_day(F.col("ts")).alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"WITH {P} SELECT id, day, row_number() OVER (ORDER BY day DESC NULLS LAST, id DESC) AS position FROM p ORDER BY day DESC NULLS LAST, id DESC LIMIT 100", days=("day",))
@@ -306,5 +308,5 @@ def orphan_cleanup(spark, d):
 )
 def pending_queue(spark, d):
     """Rows per source whose description is missing, short or cut off."""
-    short = F.col("text").isNull() | (F.trim("text") == "") | (F.length("text") < 500) | F.endswith("text", F.lit("..."))
+    short = incomplete(F.col("text"))
     return table(spark, d, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(short, 1)).alias("pending"))

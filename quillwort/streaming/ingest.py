@@ -30,6 +30,12 @@ def per_day(stream: DataFrame, time: str, delay: str = "3 days") -> DataFrame:
     return timed.groupBy(F.window(time, "1 day")).agg(F.count(F.lit(1)).alias("n")).select(F.to_date("window.start").alias("day"), "n")
 
 
+def add_days(saved: DataFrame | None, batch: DataFrame, time: str) -> DataFrame:
+    """(day, n) with the rows of a batch added, however late they are."""
+    now = batch.groupBy(F.to_date(time).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return now if saved is None else saved.unionByName(now).groupBy("day").agg(F.sum("n").alias("n"))
+
+
 class Snapshots:
     """Versions of a table under one folder. A version is complete once its commit file is there."""
 
