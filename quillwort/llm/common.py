@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -39,12 +40,18 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Delete what ``store`` wrote, when no later result reads it."""
-    spark = df.sparkSession
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+def discard(*used: DataFrame) -> None:
+    """Delete what ``store`` wrote, when no later result reads it, and the shuffle files of queries that are over.
+
+    Spark deletes those once the driver has collected the garbage that refers to them, which it is asked to do here.
+    """
+    for df in used:
+        spark = df.sparkSession
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    gc.collect()
+    used[0].sparkSession._jvm.System.gc()
 
 
 def small_batches(spark: SparkSession, rows: int = 500) -> None:

@@ -78,9 +78,11 @@ def linked(
         of = lambda x: found.select(F.col("id").alias(x), F.col("component").alias(f"c{x}"))
         apart = star.join(of("a"), "a", "left").join(of("b"), "b", "left").filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
         links = links.unionByName(check(apart, f"{name}-star"))
+        common.discard(found)
     else:
         links = check(star, f"{name}-star")
     found = joined(links)
+    common.discard(links)
 
     placed = members.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     whole = Window.partitionBy("key")
@@ -93,4 +95,6 @@ def linked(
     # Pairs with a pivot have been checked.
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
     stars = found.filter("id <> component").select(F.col("component").alias("a"), F.col("id").alias("b"))
-    return stars.unionByName(check(rest, f"{name}-rest"))
+    more = check(rest, f"{name}-rest")
+    common.discard(star, tight)
+    return stars.unionByName(more)

@@ -192,6 +192,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     load = F.struct("n", *[F.get("odd", F.lit(i)).alias(f"odd{i}") for i in range(PARITIES // 64)])
     classes = signed.filter("id is not null and cls is not null").groupBy("cls").agg(F.min("id").alias("rep"), F.first(load).alias("load"), F.first("keys").alias("keys"))
     classes = common.store(classes, "near-classes")
+    every = common.store(signed.drop("keys", "odd"), "near-sizes")
+    common.discard(signed)
     # An id that stands for several texts has no load, which bounds nothing.
     loads = common.store(classes.groupBy(F.col("rep").alias("id")).agg(F.when(F.count(F.lit(1)) == 1, F.first("load")).alias("load")), "near-loads")
     fits = may_be_linked(percent)
@@ -208,11 +210,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         return apart.join(loads, "id")
 
     links = linked(members, check, "near", fits=fits, tighten=loaded, gradual=True)
-    same = classes.select("cls", "rep").join(signed.filter("id is not null").select("id", "cls"), "cls").filter("id <> rep").select(F.col("id").alias("u"), F.col("rep").alias("v"))
+    same = classes.select("cls", "rep").join(every.filter("id is not null").select("id", "cls"), "cls").filter("id <> rep").select(F.col("id").alias("u"), F.col("rep").alias("v"))
     edges = links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(same)
     final = common.store(components(edges), "near-components")
-    for used in (members, texts, loads, classes):
-        common.discard(used)
-    out = signed.select(F.col("id").alias("_id"), F.col("n").alias("n_shingles")).join(final.withColumnRenamed("node", "_id"), "_id", "left")
+    common.discard(members, texts, loads, classes)
+    out = every.select(F.col("id").alias("_id"), F.col("n").alias("n_shingles")).join(final.withColumnRenamed("node", "_id"), "_id", "left")
     component = F.coalesce("component", "_id")
     return out.select(F.col("_id").alias(key), "n_shingles", component.alias("component_id"), F.coalesce(F.col("_id") == component, F.lit(True)).alias("kept"))
