@@ -5,6 +5,9 @@ has one surrogate wherever it occurs. A surrogate is made from a keyed hash of t
 format: letters stand for letters of the same script and case, digits for digits, addresses stay addresses, card
 numbers keep a valid check digit, and names keep gender and script. Surrogates are checked against each other and
 against all entities of the data; those that collide are made again from the next hash.
+
+Surnames and given names are entities of their own, so a person is the same one with and without the given name. A
+person whom a text names with a title is also found in that text without it, by the full name or the surname.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ PATTERNS = {
 #: Every match of a pattern holds one of these.
 HINT = r"[0-9@]|A[KS]IA|(?i:password|passwd|pwd|token|secret|api[_\-]?key)|(?:Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sr|Sra|Господин|Госпожа|Κύριος|Κυρία)\.?[  ]"
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+# The titles that stand before names, and those of women.
+TITLE = r"^(?:Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sr|Sra|Господин|Госпожа|Κύριος|Κυρία)\.?[  ]"
 FEMALE = r"^(?:Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Госпожа|Κυρία)\b"
 # The letters that stand for letters of each script and case.
 ALPHABETS = {
@@ -64,8 +69,9 @@ GIVEN = {
     ("greek", "female"): "Άννα Δήμητρα Ελένη Ζωή Ηλέκτρα Ιωάννα Κάλλια Μαρία Νίκη Σοφία".split(),
     ("greek", "male"): "Άρης Γιώργος Δημήτρης Ηλίας Κώστας Λέων Μάρκος Νίκος Πέτρος Στέφανος".split(),
 }
-#: Surrogates of an entity that are tried in its own form, and then with a growing suffix.
-ATTEMPTS, LONGER = 40, 16
+#: Surrogates of an entity that are tried in its own form, and then with a growing suffix. Given names become single
+#: names of the lists at first, and then double ones.
+ATTEMPTS, LONGER, SINGLE = 40, 16, 8
 
 
 def _kind(mention: Column) -> Column:
@@ -111,7 +117,20 @@ def _hexlike(value: Column, digest: Column) -> Column:
     return F.array_join(F.transform(F.split(value, ""), lambda c, i: F.substring(F.lit("0123456789abcdef"), _byte(digest, i) % 16 + 1, F.lit(1))), "")
 
 
-def _surrogate(kind: Column, norm: Column, digest: Column) -> Column:
+def _given(norm: Column, shaped: Column, digest: Column, attempt: int) -> Column:
+    """A name of the same gender and script, where there is a list of such; ``norm`` is gender:name."""
+    name = F.substring_index(norm, ":", -1)
+    own = F.substring(shaped, F.length(norm) - F.length(name) + 1, F.length(name))
+    scripts = {"latin": r"^\p{IsLatin}", "cyrillic": r"^\p{IsCyrillic}", "greek": r"^\p{IsGreek}"}
+
+    def pick(names: list[str]) -> Column:
+        one = lambda at: F.element_at(F.array(*map(F.lit, names)), _byte(digest, F.lit(at)) % len(names) + 1)
+        return one(30) if attempt < SINGLE else F.concat(one(30), F.lit("-"), one(29))
+
+    return F.coalesce(*[F.when(name.rlike(scripts[script]) & F.startswith(norm, F.lit(gender)), pick(names)) for (script, gender), names in GIVEN.items()], own)
+
+
+def _surrogate(kind: Column, norm: Column, digest: Column, attempt: int = 0) -> Column:
     shaped = _shape(norm, digest)
     body = F.concat(F.substring(norm, 1, 1), F.expr("substring(_shaped, 2, length(_norm) - 2)"))
     card = F.concat(body, F.pmod(10 - _luhn(F.concat(body, F.lit("0"))) % 10, F.lit(10)).cast("string"))
@@ -119,17 +138,9 @@ def _surrogate(kind: Column, norm: Column, digest: Column) -> Column:
     local = F.substring_index("_shaped", "@", 1)
     domain = F.concat(F.expr("substring_index(substring_index(_shaped, '@', -1), '.', size(split(substring_index(_norm, '@', -1), '[.]')) - 1)"), F.lit("."), F.substring_index(norm, ".", -1))
     keep = F.when(kind == "access_key", 4).when(kind == "iban", 2).otherwise(0)
-    script = F.when(norm.rlike(r" [\p{IsCyrillic}]"), "cyrillic").when(norm.rlike(r" [\p{IsGreek}]"), "greek").otherwise("latin")
-    gender = F.when(norm.rlike(FEMALE), "female").otherwise("male")
-    given = F.coalesce(*[
-        F.when((script == s) & (gender == g), F.element_at(F.array(*map(F.lit, names)), _byte(digest, F.lit(30)) % len(names) + 1))
-        for (s, g), names in GIVEN.items()
-    ])
-    # A surname by itself is reshaped; before a surname stands a given name.
-    name = F.concat(F.regexp_extract(norm, r"^[^ ]+ ", 0), F.when(F.size(F.split(norm, " ")) > 2, F.concat(given, F.lit(" "))).otherwise(""), F.substring_index("_shaped", " ", -1))
     return (
         F.when(kind == "card", card).when(kind == "ipv4", F.concat_ws(".", *[octet(i) for i in range(4)]))
-        .when(kind == "email", F.concat(local, F.lit("@"), domain)).when(kind == "name", name)
+        .when(kind == "email", F.concat(local, F.lit("@"), domain)).when(kind == "given", _given(norm, F.col("_shaped"), digest, attempt))
         .when((kind == "secret") & norm.rlike("^[0-9a-f]+$"), _hexlike(norm, digest))
         .when(kind == "phone", F.concat(F.substring(norm, 1, 1), F.expr("substring(_shaped, 2)")))
         .otherwise(F.concat(F.expr("substring(_norm, 1, _keep)"), F.expr("substring(_shaped, _keep + 1)")))
@@ -140,7 +151,7 @@ def _lengthened(kind: Column, surrogate: Column, more: Column) -> Column:
     """A surrogate with a part of a hex digest behind it, or behind the local part of an address."""
     digits, letters = F.translate(more, "abcdef", "012345"), F.translate(more, "0123456789abcdef", "abcdefghijklmnop")
     email = F.concat(F.substring_index(surrogate, "@", 1), digits, F.lit("@"), F.substring_index(surrogate, "@", -1))
-    return F.when(kind == "email", email).when(kind == "name", F.concat(surrogate, letters)).otherwise(F.concat(surrogate, digits))
+    return F.when(kind == "email", email).when(kind.isin("name", "given"), F.concat(surrogate, letters)).otherwise(F.concat(surrogate, digits))
 
 
 def assign(entities: DataFrame, secret: str) -> DataFrame:
@@ -151,14 +162,14 @@ def assign(entities: DataFrame, secret: str) -> DataFrame:
     candidates are lengthened, 8 characters more in each round, so that a crowded type runs out of none.
     """
     pending = common.store(entities.select("kind", "norm"), "pii-entities")
-    taken = pending.select(F.col("norm").alias("surrogate"))
+    taken = pending.select(F.when(F.col("kind") == "given", F.substring_index("norm", ":", -1)).otherwise(F.col("norm")).alias("surrogate"))
     done: list[DataFrame] = []
     for attempt in range(ATTEMPTS + LONGER):
         digest = F.sha2(F.concat_ws("\x1f", F.lit(secret), "kind", "norm", F.lit(str(attempt))).cast("binary"), 512)
         rows = pending.withColumn("_digest", digest).withColumn("_norm", F.col("norm"))
         _, keep, shaped = _surrogate(F.col("kind"), F.col("norm"), F.col("_digest"))
         rows = rows.withColumn("_keep", keep).withColumn("_shaped", shaped)
-        rows = rows.withColumn("surrogate", _surrogate(F.col("kind"), F.col("norm"), F.col("_digest"))[0])
+        rows = rows.withColumn("surrogate", _surrogate(F.col("kind"), F.col("norm"), F.col("_digest"), attempt)[0])
         if attempt >= ATTEMPTS:
             rows = rows.withColumn("surrogate", _lengthened(F.col("kind"), F.col("surrogate"), F.substring("_digest", 1, 8 * (attempt - ATTEMPTS + 1))))
         rows = rows.select("kind", "norm", "surrogate")
@@ -191,31 +202,67 @@ def _formatted(kind: Column, mention: Column, surrogate: Column) -> Column:
     )
 
 
+def _persons(found: Column) -> Column:
+    """array<struct(full, surname, gender)> of the mentions with a title."""
+    named = F.filter(found, lambda m: m.rlike(f"^{PATTERNS['name']}$"))
+    name = lambda m: F.regexp_replace(F.regexp_replace(m, TITLE, ""), r"[  ]+", " ")
+    return F.transform(named, lambda m: F.struct(name(m).alias("full"), F.substring_index(name(m), " ", -1).alias("surname"), F.when(m.rlike(FEMALE), "female").otherwise("male").alias("gender")))
+
+
+def _pattern(persons: Column) -> Column:
+    """The pattern of entities and, for texts with persons, of their names without a title, longest first."""
+    names = F.array_distinct(F.concat(F.transform(persons, lambda p: p["full"]), F.transform(persons, lambda p: p["surname"])))
+    longest = F.transform(F.array_sort(F.transform(names, lambda n: F.struct((-F.length(n)).alias("o"), n.alias("n")))), lambda x: F.concat(F.lit("\\Q"), x["n"], F.lit("\\E")))
+    bare = F.concat(F.lit(f"{ANY}|(?<![\\p{{L}}\\p{{N}}])(?:"), F.array_join(longest, "|"), F.lit(")(?![\\p{L}\\p{N}])"))
+    return F.when(F.size(persons) > 0, bare).otherwise(F.lit(ANY))
+
+
+def _parts(kind: Column, mention: Column, persons: Column) -> Column:
+    """array<struct(kind, norm)>: the entities of a mention; of a name the given names, and then the surname."""
+    name = F.regexp_replace(mention, TITLE, "")
+    words = F.split(name, r"[  ]+")
+    full = F.array_join(words, " ")
+    known = F.get(F.filter(persons, lambda p: p["full"] == full), F.lit(0))["gender"]
+    gender = F.when(mention.rlike(TITLE), F.when(mention.rlike(FEMALE), "female").otherwise("male")).otherwise(F.coalesce(known, F.lit("male")))
+    given = F.transform(F.slice(words, F.lit(1), F.size(words) - 1), lambda w: F.struct(F.lit("given").alias("kind"), F.concat(gender, F.lit(":"), w).alias("norm")))
+    surname = F.struct(F.lit("name").alias("kind"), F.element_at(words, -1).alias("norm"))
+    return F.when(kind == "name", F.concat(given, F.array(surname))).otherwise(F.array(F.struct(kind.alias("kind"), _norm(kind, mention).alias("norm"))))
+
+
 def replace_entities(docs: DataFrame, secret: str, text: str = "text") -> DataFrame:
     """``docs`` with every entity in ``text`` replaced, and with ``pii_kinds``, the types replaced in order.
 
-    All other columns and rows stay; a column ``pii_kinds`` is replaced. Texts are searched whole. Null and empty
-    texts, and texts without entities, stay as they are, with an empty list. Texts that may hold an entity are
-    told by a cheap hint; only their mentions are shuffled. Mentions of one entity that are very many meet a join
-    side with one row, which is broadcast after it was counted, or else left to skew-join splitting.
+    All other columns and rows stay, whatever their names; a column ``pii_kinds`` is replaced. Texts are searched
+    whole. Null and empty texts, and texts without entities, stay as they are, with an empty list; an empty table
+    gives an empty result. Rows that repeat are replaced alike. Texts that may hold an entity are told by a cheap
+    hint; only their mentions are shuffled. Mentions of one entity that are very many meet a join side with one row,
+    which is broadcast after it was counted, or else left to skew-join splitting.
     """
-    plain = docs.drop("pii_kinds", "_uid", "_found")
+    plain = docs.drop("pii_kinds")
     names = [F.col(f"`{c}`") for c in plain.columns]
     none = F.array().cast("array<string>")
     may = F.coalesce(F.col(f"`{text}`").rlike(HINT), F.lit(False))
-    marked = plain.filter(may).withColumn("_found", F.regexp_extract_all(F.col(f"`{text}`"), F.lit(ANY), F.lit(0)))
-    found = common.store(marked.filter(F.size("_found") > 0).select(F.struct(*names).alias("_row"), "_found", F.monotonically_increasing_id().alias("_uid")), "pii-found")
-    mentions = found.select("_uid", F.posexplode("_found").alias("pos", "mention"))
-    mentions = mentions.withColumn("kind", _kind(F.col("mention"))).withColumn("norm", _norm(F.col("kind"), F.col("mention")))
-    mentions = common.store(mentions, "pii-mentions")
+    marked = plain.filter(may).select(F.struct(*names).alias("row"), F.col(f"`{text}`").alias("text"))
+    marked = marked.select("row", "text", F.regexp_extract_all("text", F.lit(ANY), F.lit(0)).alias("found"))
+    held = marked.filter(F.size("found") > 0).select("row", "text", "found", _persons(F.col("found")).alias("persons"))
+    held = held.select("row", "text", "found", "persons", _pattern(F.col("persons")).alias("pattern"))
+    again = F.when(F.size("persons") > 0, F.regexp_extract_all("text", F.col("pattern"), F.lit(0))).otherwise(F.col("found"))
+    found = common.store(held.select("row", "persons", "pattern", again.alias("found"), F.monotonically_increasing_id().alias("uid")), "pii-found")
+    mentions = found.select("uid", "persons", F.posexplode("found").alias("pos", "mention"))
+    mentions = mentions.withColumn("type", F.coalesce(_kind(F.col("mention")), F.lit("name")))
+    mentions = mentions.select("uid", "pos", "mention", "type", F.posexplode(_parts(F.col("type"), F.col("mention"), F.col("persons"))).alias("i", "part"))
+    mentions = common.store(mentions.select("uid", "pos", "mention", "type", "i", "part.kind", "part.norm"), "pii-mentions")
     chosen = common.store(assign(mentions.select("kind", "norm").distinct(), secret), "pii-surrogates")
     if chosen.count() <= common.BROADCAST_ROWS:
         chosen = F.broadcast(chosen)
-    made = mentions.join(chosen, ["kind", "norm"]).select("_uid", "pos", "kind", _formatted(F.col("kind"), F.col("mention"), F.col("surrogate")).alias("new"))
-    made = made.groupBy("_uid").agg(F.array_sort(F.collect_list(F.struct("pos", "new", "kind"))).alias("_new"))
-    rebuilt = found.join(made, "_uid").withColumn("_kept", F.split(F.col(f"_row.`{text}`"), ANY, -1))
-    joined = F.array_join(F.flatten(F.zip_with("_kept", "_new", lambda a, b: F.array(a, F.coalesce(b["new"], F.lit(""))))), "")
-    out = rebuilt.select(*[joined.alias(text) if c == text else F.col(f"_row.`{c}`").alias(c) for c in plain.columns], F.col("_new.kind").alias("pii_kinds"))
+    met = mentions.join(chosen, ["kind", "norm"]).repartition("uid")
+    whole = met.groupBy("uid", "pos").agg(F.first("type").alias("type"), F.first("mention").alias("mention"), F.array_sort(F.collect_list(F.struct("i", "surrogate"))).alias("s"))
+    named = F.concat(F.regexp_extract("mention", TITLE, 0), F.array_join(F.transform("s", lambda x: x["surrogate"]), " "))
+    new = F.when(F.col("type") == "name", named).otherwise(_formatted(F.col("type"), F.col("mention"), F.get("s", F.lit(0))["surrogate"]))
+    made = whole.select("uid", "pos", "type", new.alias("new")).groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("pos", "new", "type"))).alias("made"))
+    rebuilt = found.join(made, "uid").withColumn("kept", F.split(F.col(f"row.`{text}`"), F.col("pattern"), -1))
+    joined = F.array_join(F.flatten(F.zip_with("kept", "made", lambda a, b: F.array(a, F.coalesce(b["new"], F.lit(""))))), "")
+    out = rebuilt.select(*[joined.alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in plain.columns], F.col("made.type").alias("pii_kinds"))
     still = plain.filter(~may).select(*names, none.alias("pii_kinds"))
-    empty = marked.filter(F.size("_found") == 0).select(*names, none.alias("pii_kinds"))
+    empty = marked.filter(F.size("found") == 0).select(*[F.col(f"row.`{c}`").alias(c) for c in plain.columns], none.alias("pii_kinds"))
     return still.unionByName(empty).unionByName(out)
