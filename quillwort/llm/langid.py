@@ -2,8 +2,9 @@
 
 A text becomes a TF-IDF vector of its letter n-grams (lengths 1 to 3, hashed), normalised to length 1.
 Each language keeps up to ``clusters`` centroids, found by spherical k-means over a bounded sample of labelled
-texts. The language of the nearest centroid by cosine wins; a text whose best cosine lies below that centroid's
-own radius is flagged as rejected.
+texts. The language of the nearest centroid by cosine wins. A text whose best cosine lies below the radius for texts
+of its length is flagged as rejected; the radii lie between the cosines that the sample's texts, and pieces of them,
+reach with centroids of their own language and with those of others.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -20,6 +22,11 @@ from pyspark.sql import functions as F
 from . import common
 
 UNDETERMINED = "und"
+#: Words of the pieces that show how cosines depend on length; lengths count in powers of 2 of letters.
+PIECES, LENGTHS = (4, 8, 16, 32, 64, 128), 32
+#: Where the radius lies between what the best other language reaches at most, and the own one at least; and what part
+#: of the latter it is at most.
+INWARD, MARGIN = 0.25, 0.9
 OUTPUT = "lang_pred string, score double, rejected boolean"
 
 
@@ -56,9 +63,24 @@ def ngram_counts(text: str | None, buckets: int) -> tuple[np.ndarray, np.ndarray
     return at, counts[at]
 
 
+def length_class(found: tuple[np.ndarray, np.ndarray]) -> int:
+    """The power of 2 of a text's letters, of which there is about one for three n-grams."""
+    return min(LENGTHS - 1, int(max(1, found[1].sum() // 3)).bit_length() - 1)
+
+
+def _pieces(text: str) -> list[str]:
+    """Runs of words from the inside of a text, at places that its hash gives."""
+    words, out = text.split(), []
+    for size in PIECES:
+        if len(words) > size:
+            at = crc32(text.encode("utf-8", "surrogatepass")) * (size + 7) % (len(words) - size)
+            out.append(" ".join(words[at : at + size]))
+    return out
+
+
 @dataclass
 class Model:
-    """Centroids with the language and the rejection radius of each."""
+    """Centroids with the language of each, and the rejection radius for each class of lengths."""
 
     langs: list[str]
     centroids: np.ndarray
@@ -78,7 +100,31 @@ class Model:
         like = self.centroids[:, at] @ weights
         best = int(np.argmax(like))
         score = float(min(1.0, max(0.0, like[best])))
-        return self.langs[best], score, bool(score < self.radius[best])
+        return self.langs[best], score, bool(score < self.radius[length_class(found)])
+
+    def calibrate(self, texts: list[tuple[str, tuple[np.ndarray, np.ndarray]]], slack: float) -> None:
+        """Sets the radii from texts with their languages; classes without any take that of the nearest shorter one.
+
+        With a single language there is nothing to tell it from: the radius is ``slack`` times its smallest cosines.
+        """
+        names = np.array(self.langs)
+        own: dict[int, list[float]] = {}
+        other: dict[int, list[float]] = {}
+        for name, found in texts:
+            at, weights = self.vector(found)
+            like = self.centroids[:, at] @ weights
+            own.setdefault(length_class(found), []).append(float(like[names == name].max()))
+            if (names != name).any():
+                other.setdefault(length_class(found), []).append(float(like[names != name].max()))
+        last = 0.0
+        for c in range(min(own, default=LENGTHS), LENGTHS):
+            if c in own:  # with the neighbouring classes, as few texts may be of one
+                near = np.concatenate([own.get(x, []) for x in (c - 1, c, c + 1)])
+                far = np.concatenate([other.get(x, []) for x in (c - 1, c, c + 1)])
+                least = float(np.quantile(near, 0.05))
+                most = float(np.quantile(far, 0.95)) if len(far) else None
+                last = slack * float(near.min()) if most is None else min(MARGIN * least, most + INWARD * max(0.0, least - most))
+            self.radius[c] = last
 
 
 def _clusters(vectors: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
@@ -107,8 +153,7 @@ def fit(
 
     The sample is the rows whose key has the smallest hashes; ids are chosen first, so texts outside the sample
     are never moved. Rows with a null text, language or key, and texts without letters, teach nothing. An empty
-    table gives a model that answers ``und``. A text is rejected below ``slack`` times the hundredth part of the
-    cosines that the cluster's own texts reach, which leaves ordinary texts alone.
+    table gives a model that answers ``und``. ``slack`` counts only where all texts are of one language.
     """
     rows = labelled.select(F.col(key).alias("_key"), F.col(lang).alias("_lang"), F.col(text).alias("_text"))
     order = Window.partitionBy("_lang").orderBy(F.xxhash64("_key"), "_key")
@@ -119,11 +164,11 @@ def fit(
     )
     common.small_batches(labelled.sparkSession)
 
-    @F.pandas_udf("struct<at:array<int>,n:array<int>>")
+    @F.pandas_udf("struct<at:array<int>,n:array<int>,pieces:array<string>>")
     def counted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             got = [ngram_counts(x, buckets) or ((), ()) for x in texts]
-            yield pd.DataFrame({"at": [np.asarray(a, np.int32) for a, _ in got], "n": [np.asarray(n, np.int32) for _, n in got]})
+            yield pd.DataFrame({"at": [np.asarray(a, np.int32) for a, _ in got], "n": [np.asarray(n, np.int32) for _, n in got], "pieces": [_pieces(x) for x in texts]})
 
     # The sample is bounded by sample_per_lang rows of each language, so its ids can be broadcast.
     sample = rows.join(F.broadcast(chosen), "_key").filter("_text is not null and _lang is not null")
@@ -138,8 +183,8 @@ def fit(
     for r in kept:
         df[r["at"]] += 1
     idf = np.log((1 + len(kept)) / (1 + df)) + 1
-    model = Model([], np.zeros((0, buckets)), np.zeros(0), idf)
-    centers, radius = [], []
+    model = Model([], np.zeros((0, buckets)), np.zeros(LENGTHS), idf)
+    centers = []
     for name in sorted(seen):
         own = [r for r in kept if r["_lang"] == name]
         vectors = np.zeros((len(own), buckets), np.float32)
@@ -147,14 +192,15 @@ def fit(
             at, weights = model.vector((np.array(r["at"]), np.array(r["n"])))
             vectors[i, at] = weights
         found, member = _clusters(vectors, clusters)
-        near = (vectors * found[member]).sum(1)
         for c in range(len(found)):
             if (member == c).any():
                 model.langs.append(name)
                 centers.append(found[c])
-                radius.append(slack * float(np.quantile(near[member == c], 0.01)))
     if centers:
-        model.centroids, model.radius = np.array(centers, np.float32), np.array(radius)
+        model.centroids = np.array(centers, np.float32)
+        whole = [(r["_lang"], (np.array(r["at"]), np.array(r["n"]))) for r in kept]
+        parts = [(r["_lang"], ngram_counts(x, buckets)) for r in kept for x in r["pieces"]]
+        model.calibrate(whole + [(name, found) for name, found in parts if found is not None], slack)
     return model
 
 
@@ -178,7 +224,7 @@ def classify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     Null texts and texts without letters give ``und``, 0 and rejected. Every row gets its own answer, also
     repeated ones; an empty table gives an empty table.
     """
-    plain = df.drop("lang_pred", "score", "rejected", "_lang_found")
-    return plain.withColumn("_lang_found", predicted(plain, model, text)).select(
-        *[F.col(f"`{c}`") for c in plain.columns], "_lang_found.lang_pred", "_lang_found.score", "_lang_found.rejected"
-    )
+    plain = df.drop("lang_pred", "score", "rejected")
+    packed = plain.select(F.struct(*[F.col(f"`{c}`") for c in plain.columns]).alias("row"), F.col(f"`{text}`").alias("text"))
+    told = packed.select("row", predicted(packed, model).alias("told"))
+    return told.select(*[F.col(f"row.`{c}`").alias(c) for c in plain.columns], "told.lang_pred", "told.score", "told.rejected")
