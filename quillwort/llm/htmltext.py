@@ -37,16 +37,18 @@ DROPPED_WORDS = set(
     " disqus footer form header masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo"
     " promoted promotion related search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+#: From so many words outside links on, a subtree may be content.
+WORDS = 8
 #: An opening tag ends these open elements, up to the nearest of the second set.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr"}), "th": ({"td", "th"}, {"tr"}), "option": ({"option"}, {"select"})}
 WALLS = set("article aside body div footer header li main nav section table td th ul ol form blockquote html".split())
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "items", "digest")
+    __slots__ = ("tag", "attrs", "items", "digest", "plain", "linked")
 
     def __init__(self, tag: str, attrs: dict[str, str]):
-        self.tag, self.attrs, self.items, self.digest = tag, attrs, [], None
+        self.tag, self.attrs, self.items, self.digest, self.plain, self.linked = tag, attrs, [], None, 0, 0
 
 
 class Tree(HTMLParser):
@@ -112,21 +114,33 @@ def _walk(root: Node) -> list[Node]:
 
 
 def hash_subtrees(root: Node) -> list[Node]:
-    """Sets the digest of every subtree from its tag, class, text and children; 0 where it has no text."""
+    """Sets the digest of every subtree from its tag, class, text and children; 0 where it has no text.
+
+    Also sets the number of its words in links and outside of them.
+    """
     nodes = _walk(root)
     for node in reversed(nodes):
         parts, filled = [node.tag, node.attrs.get("class", "")], False
+        plain = linked = 0
         for x in node.items:
             if isinstance(x, Node):
                 parts.append(str(x.digest))
                 filled |= x.digest != 0
+                plain, linked = plain + x.plain, linked + x.linked
             elif x := " ".join(x.split()):
                 parts.append("=" + x)
                 filled = True
+                plain += x.count(" ") + 1
+        node.plain, node.linked = (0, plain + linked) if node.tag == "a" else (plain, linked)
         node.digest = int.from_bytes(hashlib.blake2b("\0".join(parts).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True) if filled else 0
     return nodes
 
 
+def wordy(node: Node) -> bool:
+    """Whether a subtree reads like content: ``WORDS`` words or more outside links, and no fewer than inside."""
+    return node.plain >= WORDS and node.plain >= node.linked
+
+
 def marked(node: Node, in_article: bool) -> bool:
     """Whether the page itself marks the subtree as something else than main text."""
     if node.tag in DROPPED or node.tag == "header" and not in_article or node.tag == "article" and in_article:
@@ -146,8 +160,8 @@ def main_text(html: str | None, templates: set[int] | frozenset = frozenset()) -
     """The blocks of the main text, joined by line ends; empty for null or blank pages.
 
     The main text stands in the outermost article elements, else in main, else in body. Inside article or main
-    a recurring subtree goes unless it is prose (paragraphs, headings, list items and their inline markup), as
-    articles of one site may well share passages; elsewhere every recurring subtree goes.
+    a recurring subtree goes unless it is prose (paragraphs, headings, list items and their inline markup) or reads
+    like content, as articles of one site may well share passages; elsewhere every recurring subtree goes.
     """
     root = parse(html)
     nodes = hash_subtrees(root) if templates else _walk(root)
@@ -175,7 +189,7 @@ def main_text(html: str | None, templates: set[int] | frozenset = frozenset()) -
                 if item.tag in BLOCK and inside:
                     end()
                 continue
-            if templates and item.digest in templates and not held and not (inside and holder and item.tag in PROSE) and (inside or not _holds(item, holder)):
+            if templates and item.digest in templates and not held and not (inside and holder and (item.tag in PROSE or wordy(item))) and (inside or not _holds(item, holder)):
                 continue
             within = inside or held
             split = item.tag in BLOCK
@@ -197,10 +211,13 @@ def host(url: Column) -> Column:
     return F.when(got != "", got)
 
 
-def templates(pages: DataFrame, min_pages: int = 5, share: float = 0.05, url: str = "url", html: str = "html") -> DataFrame:
+def templates(
+    pages: DataFrame, min_pages: int = 5, share: float = 0.05, url: str = "url", html: str = "html", most_pages: int = 20, most: float = 0.5
+) -> DataFrame:
     """Recurring subtrees as (host, hashes): those on ``min_pages`` and ``share`` of the host's different pages.
 
-    Copies of a whole page count once, so a page that was fetched often does not become its own template. A host
+    Subtrees that read like content have to be on ``most_pages`` and the part ``most`` of them, as pages of one site
+    may be near copies of each other or share passages. Copies of a whole page count once, so a page that was fetched often does not become its own template. A host
     has at most the mean number of subtrees of a page divided by ``share`` of them. Pages without a host have none.
     """
     common.small_batches(pages.sparkSession)
@@ -208,44 +225,47 @@ def templates(pages: DataFrame, min_pages: int = 5, share: float = 0.05, url: st
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hosts, whole, found = [], [], []
+            hosts, whole, found, content = [], [], [], []
             for h, x in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), strict=True):
                 nodes = hash_subtrees(parse(x))
-                own = {n.digest for n in nodes[1:]} - {0} | {0}  # 0 stands for the page
+                own = {n.digest: wordy(n) for n in nodes[1:]} | {0: False}  # 0 stands for the page
                 hosts += [h] * len(own)
                 whole += [nodes[0].digest] * len(own)
                 found += own
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(whole, pa.int64()), pa.array(found, pa.int64())], names=["host", "page", "hash"])
+                content += own.values()
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(whole, pa.int64()), pa.array(found, pa.int64()), pa.array(content, pa.bool_())], names=["host", "page", "hash", "content"])
 
-    seen = rows.mapInArrow(hashed, "host string, page long, hash long")
-    per = seen.distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
+    seen = rows.mapInArrow(hashed, "host string, page long, hash long, content boolean")
+    per = seen.distinct().groupBy("host", "hash", "content").agg(F.count(F.lit(1)).alias("n"))
     per = common.store(per.filter((F.col("n") >= min_pages) | (F.col("hash") == 0)), "html-counts")
     totals = per.filter("hash = 0").select("host", F.col("n").alias("pages"))
-    often = per.filter("hash <> 0").join(totals, "host").filter(F.col("n") >= F.greatest(F.lit(min_pages), F.col("pages") * share))
+    least = F.when(F.col("content"), F.greatest(F.lit(most_pages), F.col("pages") * most)).otherwise(F.greatest(F.lit(min_pages), F.col("pages") * share))
+    often = per.filter("hash <> 0").join(totals, "host").filter(F.col("n") >= least)
     return often.groupBy("host").agg(F.collect_list("hash").alias("hashes"))
 
 
 def extract(pages: DataFrame, found: DataFrame | None = None, url: str = "url", html: str = "html", out: str = "text") -> DataFrame:
     """``pages`` with the main text of each whole page in ``out``, which replaces a column of that name.
 
-    Null and empty pages give an empty text. Pages are joined with the templates of their host, one row each; the
+    Null and empty pages give an empty text; rows that repeat keep a row each; an empty table gives an empty one, and
+    pages of any length are parsed whole. Names of other columns do not matter. Pages are joined with the templates of their host, one row each; the
     templates are broadcast after they are counted, and beyond that the join is salted, so that a host with a
     third of the pages does not meet in one task.
     """
     common.small_batches(pages.sparkSession)
     found = common.store(templates(pages, url=url, html=html) if found is None else found, "html-templates")
-    plain = pages.drop(*({out} - {html, url}), "_host", "_salt", "_hashes").withColumn("_host", host(F.col(f"`{url}`")))
-    found = found.select(F.col("host").alias("_host"), F.col("hashes").alias("_hashes"))
-    if (found.agg(F.coalesce(F.sum(F.size("_hashes")), F.lit(0))).first()[0]) <= 20 * common.BROADCAST_ROWS:
-        joined = plain.join(F.broadcast(found), "_host", "left")
+    packed = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"), host(F.col(f"`{url}`")).alias("host"))
+    if (found.agg(F.coalesce(F.sum(F.size("hashes")), F.lit(0))).first()[0]) <= 20 * common.BROADCAST_ROWS:
+        joined = packed.join(F.broadcast(found), "host", "left")
     else:
-        spread = found.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(15))))
-        joined = plain.withColumn("_salt", F.pmod(F.xxhash64(F.col(f"`{html}`"), F.col(f"`{url}`")), F.lit(16)).cast("int")).join(spread, ["_host", "_salt"], "left").drop("_salt")
+        spread = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(15))))
+        salt = F.pmod(F.xxhash64(F.col(f"row.`{html}`"), F.col(f"row.`{url}`")), F.lit(16)).cast("int")
+        joined = packed.withColumn("salt", salt).join(spread, ["host", "salt"], "left")
 
     @F.pandas_udf("string")
     def text_of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for pages_, hashes in batches:
             yield pd.Series([main_text(x, set(h) if h is not None else frozenset()) for x, h in zip(pages_, hashes, strict=True)])
 
-    keep = [c for c in pages.columns if c != out or c in {html, url}]
-    return joined.select(*[F.col(f"`{c}`") for c in keep if c != out], text_of(F.col(f"`{html}`"), "_hashes").alias(out))
+    kept = [F.col(f"row.`{c}`").alias(c) for c in pages.columns if c != out]
+    return joined.select(*kept, text_of(F.col(f"row.`{html}`"), F.col("hashes")).alias(out))
