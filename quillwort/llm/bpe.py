@@ -123,10 +123,11 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str
 
     Texts of up to ``size`` characters are one chunk and are encoded where they are. Longer ones are dealt out as
     chunk rows, whose pre-tokens are found in parallel, and meet again to be stitched and encoded; only those
-    texts are shuffled. A null text counts as empty and has no ids. Every row keeps its own result.
+    texts are shuffled. A null text counts as empty and has no ids. Every row keeps its own result, also a repeated
+    one; an empty table gives an empty one. Names of other columns do not matter.
     """
     common.small_batches(df.sparkSession)
-    plain = df.drop(out, "_bpe_long", "_bpe_row")
+    plain = df.drop(out)
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     is_long = F.length(whole) > size
 
@@ -172,7 +173,10 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """``df`` with the bytes of the tokens in ``ids`` in the binary column ``out``; a null list gives no bytes."""
+    """``df`` with the bytes of the tokens in ``ids`` in the binary column ``out``, which replaces one of that name.
+
+    A null list gives no bytes. Every row keeps its own result, also a repeated one; an empty table gives an empty one.
+    """
     common.small_batches(df.sparkSession)
 
     @F.pandas_udf("binary")

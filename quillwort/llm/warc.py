@@ -138,7 +138,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     """The captures of the archives under ``path``; those of a file are one run, sorted by URL key and time.
 
     Lengths and digests of responses are those of the payloads read, and a mismatch with the headers is an error;
-    revisits carry the figures of the payload they stand for.
+    revisits carry the figures of the payload they stand for. Records that repeat keep a row each; a missing target or
+    id is an empty key or a null; archives without records give an empty table.
     """
     schema = spark.createDataFrame([], CAPTURE + ", seq long").schema
     arrow = pa.schema([(f.name, pa.int64() if f.dataType.typeName() == "long" else pa.string()) for f in schema])
@@ -197,7 +198,8 @@ def merge(captures: DataFrame) -> DataFrame:
     """All captures in global order of URL key and time: partitions are key ranges, merged from the runs.
 
     A range also covers time and id, so one URL with very many captures is split between ranges. A task holds the
-    index rows of its range, not the payloads.
+    index rows of its range, not the payloads. Captures without a URL or an id come first; equal ones are ordered by
+    their file and place, so that all of them stay; an empty table gives an empty one.
     """
     schema = captures.drop("seq").schema
     names = schema.names
