@@ -161,9 +161,11 @@ def canonical_company(name: Column, aliases: dict[str, str] | None = None) -> Co
         "venha ser sanguelaranja": "FCamara", "randstad 1": "Randstad", "randstad matriz": "Randstad",
         "nava tech for business": "Nava Technology for Business", "minsait brasil": "Minsait", "minsait an indra company": "Minsait",
     }
-    key = normalize(name)
-    out = F.when(F.length(key) <= 1, F.lit("")).when(key.rlike(r"\bconfidencial\d*\b"), F.lit("Confidencial"))
-    return reduce(lambda w, item: w.when(key == item[0], F.lit(item[1])), known.items(), out).otherwise(name)
+    def usual(key: Column) -> Column:
+        out = F.when(F.length(key) <= 1, F.lit("")).when(key.rlike(r"\bconfidencial\d*\b"), F.lit("Confidencial"))
+        return reduce(lambda w, item: w.when(key == item[0], F.lit(item[1])), known.items(), out).otherwise(name)
+
+    return bound(normalize(name), usual)
 
 
 def is_slug(name: Column) -> Column:

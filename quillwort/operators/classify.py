@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.workplace import REMOTE, UNKNOWN
-from ..functions.text import holds_phrase, normalize, normalize_level, padded
+from ..functions.text import bound, holds_phrase, normalize, normalize_level, padded
 from . import phrases
 
 SCORE = "struct<area:string,score:double,matches:array<string>,title_score:double,title_strong:boolean>"
@@ -81,8 +81,8 @@ def _norm(phrase: str) -> str:
 
 
 def any_phrase(text: Column, words: list[str]) -> Column:
-    """Whether padded text holds any of the phrases."""
-    return reduce(lambda a, b: a | b, [holds_phrase(text, _norm(w)) for w in words], F.lit(False))
+    """Whether padded text holds any of the phrases; the text is made once for all of them."""
+    return bound(text, lambda t: reduce(lambda a, b: a | b, [holds_phrase(t, _norm(w)) for w in words], F.lit(False)))
 
 
 def is_excluded(title: Column, description: Column, rules: AreaRules) -> Column:
@@ -257,9 +257,12 @@ class PlaceRules:
 
 def hub_and_region(location: Column, workplace: Column, rules: PlaceRules) -> Column:
     """struct(hub, region): by the first alias held, else the first state code, else remote, national or unknown."""
-    text = padded(normalize(location))
     pair = lambda hub, region: F.struct(F.lit(hub).alias("hub"), F.lit(region).alias("region"))
-    tests = [(holds_phrase(text, a), pair(hub, region)) for a, hub, region in rules.aliases]
-    tests += [(holds_phrase(text, s.lower()), pair(f"Estado/{s}", region)) for s, region in rules.states.items()]
-    tests += [(F.lower(F.trim(F.coalesce(workplace, F.lit("")))) == REMOTE.lower(), pair("Remoto", "Remoto Nacional")), (text.rlike("brasil|brazil"), pair("Nacional", "Nacional"))]
-    return F.coalesce(*[F.when(c, v) for c, v in tests], pair(UNKNOWN, UNKNOWN))
+
+    def found(text: Column) -> Column:
+        tests = [(holds_phrase(text, a), pair(hub, region)) for a, hub, region in rules.aliases]
+        tests += [(holds_phrase(text, s.lower()), pair(f"Estado/{s}", region)) for s, region in rules.states.items()]
+        tests += [(F.lower(F.trim(F.coalesce(workplace, F.lit("")))) == REMOTE.lower(), pair("Remoto", "Remoto Nacional")), (text.rlike("brasil|brazil"), pair("Nacional", "Nacional"))]
+        return F.coalesce(*[F.when(c, v) for c, v in tests], pair(UNKNOWN, UNKNOWN))
+
+    return bound(padded(normalize(location)), found)

@@ -305,7 +305,7 @@ def marginal_contribution(spark, d):
 
 
 def _snapshot(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "orders").filter("o_orderkey % 3 <> 0")
+    rows = table(spark, d, "orders").filter("o_orderkey % 3 <> 0 or o_orderkey % 5 = 0")
     return rows.select(
         F.col("o_orderkey").alias("id"), F.lit("portal").alias("source"), F.col("o_orderkey").cast("string").alias("external_id"), F.col("o_orderpriority").alias("title"), F.lit("Acme Corp").alias("company"),
         F.lit("Recife, PE").alias("location"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("description"), F.lit(False).alias("closed"), F.lit("Remoto").alias("workplace"),
@@ -323,7 +323,7 @@ def _batch(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    "WITH o AS (SELECT o_orderkey k, o_orderpriority p FROM orders WHERE o_orderkey % 3 <> 0), n AS (SELECT o_orderkey k, o_orderpriority p FROM orders WHERE o_orderkey % 5 <> 0) "
+    "WITH o AS (SELECT o_orderkey k, o_orderpriority p FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 5 = 0), n AS (SELECT o_orderkey k, o_orderpriority p FROM orders WHERE o_orderkey % 5 <> 0) "
     "SELECT coalesce(o.k, n.k)::VARCHAR AS external_id, CASE WHEN n.k IS NULL THEN o.p ELSE 'New ' || n.p END AS title, CASE WHEN o.k IS NULL THEN NULL ELSE 'Acme Corp' END AS company, n.p AS description, "
     "coalesce(n.k % 7 = 0, false) AS closed, CASE WHEN n.k IS NULL OR (o.k IS NOT NULL AND o.k % 2 = 0) THEN 'Remoto' ELSE 'Presencial' END AS workplace, CASE WHEN o.k IS NULL THEN NULL ELSE 'Data' END AS area FROM o FULL JOIN n ON o.k = n.k"
 )

@@ -287,11 +287,11 @@ def latest_runs(spark, d):
     return table(spark, d, "events").orderBy(F.desc("ts"), F.desc("event_id")).limit(5).select("event_id", "event_type")
 
 
-@query(f"WITH {P}, {M}, old AS (SELECT * FROM m WHERE skill_id % 7 <> 0), new AS (SELECT * FROM m WHERE skill_id % 5 <> 0) SELECT id, skill_id, 'added' AS change FROM (SELECT * FROM new EXCEPT SELECT * FROM old) UNION ALL SELECT id, skill_id, 'removed' FROM (SELECT * FROM old EXCEPT SELECT * FROM new)")
+@query(f"WITH {P}, {M}, old AS (SELECT * FROM m WHERE skill_id % 7 <> 0 OR skill_id % 5 = 0), new AS (SELECT * FROM m WHERE skill_id % 5 <> 0) SELECT id, skill_id, 'added' AS change FROM (SELECT * FROM new EXCEPT SELECT * FROM old) UNION ALL SELECT id, skill_id, 'removed' FROM (SELECT * FROM old EXCEPT SELECT * FROM new)")
 def bridge_diff(spark, d):
     """Links added and removed between two states, in one full join."""
     links = mentions(spark, d)
-    old, new = links.filter("skill_id % 7 <> 0").withColumn("o", F.lit(1)), links.filter("skill_id % 5 <> 0").withColumn("w", F.lit(1))
+    old, new = links.filter("skill_id % 7 <> 0 or skill_id % 5 = 0").withColumn("o", F.lit(1)), links.filter("skill_id % 5 <> 0").withColumn("w", F.lit(1))
     both = old.join(new, ["id", "skill_id"], "full").filter("o is null or w is null")
     return both.select("id", "skill_id", F.when(F.col("o").isNull(), "added").otherwise("removed").alias("change"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,8 +91,9 @@ def read_rules(path: str) -> dict:
 
 def log_counts(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     """(file, n): the last number that the pattern's group takes from each log."""
-    lines = spark.read.text(path).select(F.input_file_name().alias("file"), F.regexp_extract("value", pattern, 1).alias("n"))
-    return lines.filter("n <> ''").groupBy("file").agg(F.max(F.col("n").cast("long")).alias("n"))
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place")
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), place, F.regexp_extract("value", pattern, 1).alias("n"))
+    return lines.filter("n <> ''").groupBy("file").agg(F.max_by(F.col("n").cast("long"), "place").alias("n"))
 
 
 def dataset_columns(df: DataFrame, skills: Column) -> DataFrame:
@@ -118,6 +120,15 @@ def write_payload(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the folder that all machines share and read again, for what is read several times."""
+    spark = df.sparkSession
+    at = spark.conf.get("spark.checkpoint.dir", "") or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{at.rstrip('/')}/quillwort/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def snapshot_manifest(df: DataFrame, path: str, parent: str | None, name: str) -> dict:
     """Write a snapshot and describe it: its id, that of its parent, and a hash of its rows that ignores order."""
     df.write.mode("errorifexists").parquet(path)
