@@ -23,12 +23,13 @@ def ranking(df: DataFrame, by: Column, name: str = "name", top: int | None = Non
     """(position, name, n, pct) of the groups of ``by``; shares are of all rows, also where only ``top`` are kept."""
     counts = df.groupBy(by.alias(name)).agg(F.count(F.lit(1)).alias("n"))
     ties = F.lower(F.col(name)) if fold_case else F.col(name)
+    if top is not None:  # only so many rows are numbered, and only their sum is taken of all
+        total = counts.agg(F.sum("n").alias("_total"))
+        counts = counts.orderBy(F.desc("n"), ties).limit(top).crossJoin(F.broadcast(total))  # one row
+    else:
+        counts = counts.withColumn("_total", F.sum("n").over(Window.partitionBy()))
     order = Window.orderBy(F.desc("n"), ties)
-    ranked = counts.select(
-        F.row_number().over(order).cast("long").alias("position"), name, "n",
-        percent(F.col("n"), F.sum("n").over(Window.partitionBy())).alias("pct"),
-    )
-    return ranked if top is None else ranked.filter(F.col("position") <= top)
+    return counts.select(F.row_number().over(order).cast("long").alias("position"), name, "n", percent(F.col("n"), F.col("_total")).alias("pct"))
 
 
 def vocabulary_ranking(df: DataFrame, by: Column, order: list[str], name: str = "name") -> DataFrame:
@@ -98,8 +99,7 @@ def presence(counts: DataFrame, totals: DataFrame, area: str, item: str, top: in
     )
     out = shares.crossJoin(F.broadcast(n_areas)).select(item, F.round(F.col("sum_pct") / F.col("n_areas"), 6).alias("mean_pct"), "areas", "n")
     if top is not None:
-        order = Window.orderBy(F.desc("n"), F.lower(item))
-        out = out.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= top).drop("_n")
+        out = out.orderBy(F.desc("n"), F.lower(item)).limit(top)
     return out
 
 

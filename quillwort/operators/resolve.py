@@ -75,10 +75,10 @@ def _greedy(rows: pd.DataFrame) -> list[int]:
 def resolve(jobs: DataFrame, ordinal: str = "ord") -> DataFrame:
     """Postings without duplicates; all columns, the description and search term as the chain of winners has them.
 
-    Titles with one posting, or with postings of one source, pass by. In the other title groups postings are
-    compared with the survivors so far in order: another source, a company whose words hold the other's, the same
-    city in no other state, dates at most seven days apart; the longer description then stands for both. That
-    order matters, so a group is one task; groups are as large as one title is common in several sources.
+    Postings without a city, and those of a title and city that only one source has, pass by. In the other groups
+    postings are compared with the survivors so far in order: another source, a company whose words hold the other's,
+    the same city in no other state, dates at most seven days apart; the longer description then stands for both.
+    That order matters, so a group is one task; groups are as large as one title is common in a city.
     """
     keyed = by_keys(jobs, ordinal)
     place = place_identity(F.col("location"))
@@ -86,17 +86,19 @@ def resolve(jobs: DataFrame, ordinal: str = "ord") -> DataFrame:
         "_title": normalize(F.col("title")), "_company": company_identity(F.col("company")), "_city": place["city"], "_state": place["state"],
         "_day": loose_date(F.col("published_date")), "_len": F.length(F.coalesce("description", F.lit(""))),
     })
-    # One shuffle by title serves the window, the rows that pass by and the groups.
-    title = Window.partitionBy("_title")
-    rows = rows.withColumns({"_several": F.min("source").over(title) != F.max("source").over(title), "_place": F.row_number().over(title.orderBy("_ord"))}).drop("_ord")
-    alone, groups = rows.filter(~F.col("_several")), rows.filter("_several").drop("_several")
+    # One shuffle by title and city serves the window, the rows that pass by and the groups. Rows without a city stay.
+    block = Window.partitionBy("_title", "_city")
+    placed = rows.filter("_city is not null")
+    placed = placed.withColumns({"_several": F.min("source").over(block) != F.max("source").over(block), "_place": F.row_number().over(block.orderBy("_ord"))}).drop("_ord")
+    alone, groups = placed.filter(~F.col("_several")), placed.filter("_several").drop("_several")
+    loose = rows.filter("_city is null").select(*jobs.columns)
 
     def survivors(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("_place", kind="stable").reset_index(drop=True)
         return group.iloc[_greedy(group)].drop(columns=["_place"])
 
-    kept = groups.groupBy("_title").applyInPandas(survivors, groups.drop("_place").schema)
-    return alone.select(*jobs.columns).unionByName(kept.select(*jobs.columns))
+    kept = groups.groupBy("_title", "_city").applyInPandas(survivors, groups.drop("_place").schema)
+    return loose.unionByName(alone.select(*jobs.columns)).unionByName(kept.select(*jobs.columns))
 
 
 def marginal(base: DataFrame, extra: DataFrame, ordinal: str = "ord") -> DataFrame:
