@@ -24,9 +24,9 @@ from . import common
 UNDETERMINED = "und"
 #: Words of the pieces that show how cosines depend on length; lengths count in powers of 2 of letters.
 PIECES, LENGTHS = (4, 8, 16, 32, 64, 128), 32
-#: Where the radius lies between what the best other language reaches at most, and the own one at least; and what part
+#: How far the radius lies inward of what the best other language reaches at most, towards the own one; and what part
 #: of the latter it is at most.
-INWARD, MARGIN = 0.25, 0.9
+INWARD, MARGIN = 0.0, 0.7
 OUTPUT = "lang_pred string, score double, rejected boolean"
 
 
