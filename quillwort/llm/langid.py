@@ -26,7 +26,7 @@ UNDETERMINED = "und"
 PIECES, LENGTHS = (4, 8, 16, 32, 64, 128), 32
 #: How far the radius lies inward of what the best other language reaches at most, towards the own one; and what part
 #: of the latter it is at most.
-INWARD, MARGIN = 0.0, 0.7
+INWARD, MARGIN = 0.1, 0.8
 OUTPUT = "lang_pred string, score double, rejected boolean"
 
 
