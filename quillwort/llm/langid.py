@@ -9,9 +9,10 @@ reach with centroids of their own language and with those of others.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -102,7 +103,7 @@ class Model:
         score = float(min(1.0, max(0.0, like[best])))
         return self.langs[best], score, bool(score < self.radius[length_class(found)])
 
-    def calibrate(self, texts: list[tuple[str, tuple[np.ndarray, np.ndarray]]], slack: float) -> None:
+    def calibrate(self, texts: Iterable[tuple[str, tuple[np.ndarray, np.ndarray]]], slack: float) -> None:
         """Sets the radii from texts with their languages; classes without any take that of the nearest shorter one.
 
         With a single language there is nothing to tell it from: the radius is ``slack`` times its smallest cosines.
@@ -164,16 +165,18 @@ def fit(
     )
     common.small_batches(labelled.sparkSession)
 
-    @F.pandas_udf("struct<at:array<int>,n:array<int>,pieces:array<string>>")
+    # Counts reach the driver as bytes: as lists of Python's numbers they would take many times the room there.
+    @F.pandas_udf("struct<at:binary,n:binary,pieces:array<string>>")
     def counted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             got = [ngram_counts(x, buckets) or ((), ()) for x in texts]
-            yield pd.DataFrame({"at": [np.asarray(a, np.int32) for a, _ in got], "n": [np.asarray(n, np.int32) for _, n in got], "pieces": [_pieces(x) for x in texts]})
+            yield pd.DataFrame({"at": [np.asarray(a, ">i4").tobytes() for a, _ in got], "n": [np.asarray(n, ">i4").tobytes() for _, n in got], "pieces": [_pieces(x) for x in texts]})
 
     # The sample is bounded by sample_per_lang rows of each language, so its ids can be broadcast.
     sample = rows.join(F.broadcast(chosen), "_key").filter("_text is not null and _lang is not null")
-    sample = sample.select("_key", "_lang", counted("_text").alias("c")).select("_key", "_lang", "c.*").filter("size(at) > 0")
-    got = sorted(sample.collect(), key=lambda r: (r["_lang"], r["_key"], r["at"][:8]))
+    sample = sample.select("_key", "_lang", counted("_text").alias("c")).select("_key", "_lang", "c.*").filter("octet_length(at) > 0")
+    got = sorted(sample.collect(), key=lambda r: (r["_lang"], r["_key"], bytes(r["at"][:32])))
+    counts = lambda r: tuple(np.frombuffer(r[c], ">i4").astype(np.int64) for c in ("at", "n"))
     seen, kept = {}, []
     for r in got:  # keys may repeat: the bound holds for rows too
         seen[r["_lang"]] = seen.get(r["_lang"], 0) + 1
@@ -181,7 +184,7 @@ def fit(
             kept.append(r)
     df = np.zeros(buckets)
     for r in kept:
-        df[r["at"]] += 1
+        df[counts(r)[0]] += 1
     idf = np.log((1 + len(kept)) / (1 + df)) + 1
     model = Model([], np.zeros((0, buckets)), np.zeros(LENGTHS), idf)
     centers = []
@@ -189,7 +192,7 @@ def fit(
         own = [r for r in kept if r["_lang"] == name]
         vectors = np.zeros((len(own), buckets), np.float32)
         for i, r in enumerate(own):
-            at, weights = model.vector((np.array(r["at"]), np.array(r["n"])))
+            at, weights = model.vector(counts(r))
             vectors[i, at] = weights
         found, member = _clusters(vectors, clusters)
         for c in range(len(found)):
@@ -198,9 +201,9 @@ def fit(
                 centers.append(found[c])
     if centers:
         model.centroids = np.array(centers, np.float32)
-        whole = [(r["_lang"], (np.array(r["at"]), np.array(r["n"]))) for r in kept]
-        parts = [(r["_lang"], ngram_counts(x, buckets)) for r in kept for x in r["pieces"]]
-        model.calibrate(whole + [(name, found) for name, found in parts if found is not None], slack)
+        whole = ((r["_lang"], counts(r)) for r in kept)
+        parts = ((r["_lang"], ngram_counts(x, buckets)) for r in kept for x in r["pieces"])
+        model.calibrate(chain(whole, ((name, found) for name, found in parts if found is not None)), slack)
     return model
 
 
