@@ -22,7 +22,6 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import partial, reduce
-from hashlib import blake2b
 from itertools import groupby
 
 import numpy as np
@@ -40,8 +39,8 @@ DISCOUNT = 0.75
 END = "\n"
 _FLUSH = 500_000
 _START = 0  # the state before the first word
-#: Tokens that a worker reads before it deals them out, tokens of a part, and codes of rare words that a worker remembers.
-FLUSH, SLICE, KEPT = 1 << 20, 1 << 19, 1 << 18
+#: Tokens that a worker reads before it deals them out, tokens of a part, and texts whose words are told at once.
+FLUSH, SLICE, READS = 1 << 20, 1 << 19, 64
 #: Parts are met in so many turns, as what is dealt out in each needs room on disk.
 TURNS = 2
 #: The highest bit is set in codes of rare words only; the code of no word stands for whatever is before a word.
@@ -144,16 +143,61 @@ class Automaton:
         return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
 
 
-class Codes(dict):
+class Codes:
     """Codes of words as UTF-8: ids of those at hand, 63 bits of a hash below the highest bit of others."""
 
     def __init__(self, words: dict[str, int]):
-        super().__init__((w.encode("utf-8", "replace"), i) for w, i in words.items())
-        self.full = len(self) + KEPT
-
-    def __missing__(self, word: bytes) -> int:
-        got = self[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little") | 1 << 63
-        return got
+        own = [(w.encode("utf-8", "replace"), i) for w, i in words.items() if w != END]
+        keys, ids = hashes([w for w, _ in own])[0], np.array([i for _, i in own], np.uint64)
+        order = np.argsort(keys)
+        self.keys, self.ids = keys[order], ids[order]
+        # Keys are looked up from where those with the same first bits begin.
+        bits = min(24, max(4, 2 + len(own).bit_length()))
+        self.shift = np.uint64(63 - bits)
+        self.begin = np.searchsorted(self.keys, np.arange((1 << bits) + 1, dtype=np.uint64) << self.shift)
+        self.end = np.uint64(words[END]) if END in words else RARE
+
+    def of(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of the words of all ``texts``, each between the start and the end, and how many each text has of these."""
+        found, sizes = hashes(texts)
+        out, inside, ends = np.zeros(len(found) + 2 * len(sizes), np.uint64), np.ones(len(found) + 2 * len(sizes), bool), np.cumsum(sizes + 2)
+        inside[ends - 1] = inside[ends - sizes - 2] = False
+        out[inside], out[ends - sizes - 2], out[ends - 1] = self.codes(found), _START, self.end
+        return out, sizes + 2
+
+    def codes(self, found: np.ndarray) -> np.ndarray:
+        out, todo, first = found | RARE, np.arange(len(found)), (found >> self.shift).astype(np.int64)
+        at, end = self.begin[first], self.begin[first + 1]
+        while len(todo):
+            more = at < end
+            todo, at, end = todo[more], at[more], end[more]
+            hit = self.keys[at] == found[todo]
+            out[todo[hit]] = self.ids[at[hit]]
+            todo, at, end = todo[~hit], at[~hit] + 1, end[~hit]
+        return out
+
+
+_LOWER = np.array([b + 33 if 65 <= b <= 90 else b + 1 for b in range(256)], np.uint64)
+_BLANK = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
+_factors = np.zeros(0, np.uint64)
+
+
+def hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """63 bits for each word of ``texts`` as UTF-8, A-Z in lower case, and the number of words of each text."""
+    global _factors
+    data = np.frombuffer(b" ".join([t or b"" for t in texts]), np.uint8)
+    inside = ~_BLANK[data]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    starts, at = np.flatnonzero(begins), np.flatnonzero(inside)
+    first = np.flatnonzero(begins[at])
+    place = at - np.repeat(starts, np.diff(np.append(first, len(at))))
+    longest = int(place.max()) + 1 if len(place) else 1
+    if longest > len(_factors):  # odd numbers, one for each place in a word
+        _factors = mixed(np.arange(1, max(longest, 256) + 1, dtype=np.uint64), np.zeros(1, np.uint64)) | np.uint64(1)
+    sums = np.add.reduceat(_LOWER[data[at]] * _factors[place], first) if len(first) else np.zeros(0, np.uint64)
+    edges = np.cumsum([0, *(len(t or b"") + 1 for t in texts)])
+    return mixed(sums, np.zeros(1, np.uint64)) >> np.uint64(1), np.diff(np.searchsorted(starts, edges))
 
 
 def rare(codes: np.ndarray) -> np.ndarray:
@@ -210,6 +254,14 @@ def summed(prev: np.ndarray, word: np.ndarray, n: np.ndarray) -> tuple[np.ndarra
     return prev[first], word[first], np.add.reduceat(n[order], first) if len(first) else n[:0]
 
 
+def tallied(prev: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs with their numbers, in no order; should two pairs share their number of 64 bits, one may come more than once."""
+    order = np.argsort(mixed(prev, word))
+    prev, word = prev[order], word[order]
+    first = np.flatnonzero(np.concatenate(([True], (prev[1:] != prev[:-1]) | (word[1:] != word[:-1])))[: len(prev)])
+    return prev[first], word[first], np.diff(np.append(first, len(prev)))
+
+
 def found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where ``wanted`` are in the sorted ``keys``, and whether they are there."""
     if not len(keys):
@@ -242,21 +294,16 @@ def _flushes(batches: Iterator[pa.RecordBatch], name: str, words: dict[str, int]
     number, codes, held, read, size = TaskContext.get().partitionId() << 32, Codes(words), [], [], 0
 
     def out() -> tuple[int, list[pa.RecordBatch], np.ndarray, np.ndarray, np.ndarray]:
-        sizes = np.array([len(x) for x in read])
-        every, last = np.concatenate(read), np.cumsum(sizes) - 1
-        return number, held, np.delete(every, last), np.delete(every, last - sizes + 1), np.repeat(np.arange(len(read), dtype=np.uint32), sizes - 1)
+        every, sizes = (np.concatenate(x) for x in zip(*read, strict=True))
+        last = np.cumsum(sizes) - 1
+        return number, held, np.delete(every, last), np.delete(every, last - sizes + 1), np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes - 1)
 
     for b in batches:
         held.append(b)
-        for text in b.column(name).to_pylist():
-            tokens = text.encode("utf-8", "replace").lower().split() if text else []
-            tokens.append(END.encode())
-            own = np.empty(len(tokens) + 1, np.uint64)
-            own[0], own[1:] = _START, np.fromiter(map(codes.__getitem__, tokens), np.uint64, len(tokens))
-            read.append(own)
-            size += len(own)
-            if len(codes) > codes.full:
-                codes = Codes(words)
+        texts = b.column(name).cast(pa.binary())
+        for k in range(0, len(texts), READS):  # few at once, whose arrays stay in the processor's cache
+            read.append(codes.of(texts[k : k + READS].to_pylist()))
+            size += len(read[-1][0])
         if size >= FLUSH:
             yield out()
             number, held, read, size = number + 1, [], [], 0
@@ -300,7 +347,7 @@ def train(texts: DataFrame, head: int = HEAD, arcs: int = ARCS) -> tuple[Automat
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, prev, word, _ in _flushes(batches, name, shared.value):
-            prev, word, n = summed(prev, word, np.ones(len(prev), np.int64))
+            prev, word, n = tallied(prev, word)
             # A rare word after a rare one is counted in its own part as well.
             both = rare(prev) & rare(word)
             own = summed(np.full(both.sum(), ANY), word[both], n[both])
